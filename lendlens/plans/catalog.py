@@ -91,3 +91,194 @@ FROM j
 def q_lender_fairness(spark, sf):
     return hmda.lender_fairness_from(_apps(spark, sf), _registry(spark, sf),
                                      min_white_black=FIXTURE_MIN_COUNT)
+
+
+# ==========================================================================
+# Q8 recommendations (over the Q7 table)
+# ==========================================================================
+def _recommend_sql(min_count: int, top_n: int = 5) -> str:
+    fair = _fairness_sql(min_count)
+    # turn the fairness SELECT into a CTE named fair
+    head, _, tail = fair.rpartition("\nSELECT CAST(row_number()")
+    fair_cte = head + ",\nfair AS (SELECT CAST(row_number()" + tail + ")"
+    branches = "\n  UNION ALL\n  ".join(
+        f"SELECT '{g}' AS applicant_group, rank, lei, institution_name, city, state, total_loans, "
+        f"white_rate, {rate} AS group_rate, {gap} AS gap, {cnt} AS group_count, {m} AS min_count FROM fair"
+        for g, (gap, rate, cnt, m) in codes.RECOMMEND_CONFIG.items())
+    return f"""{fair_cte},
+long AS (
+  {branches}
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY applicant_group ORDER BY gap ASC, rank ASC) AS recommendation
+  FROM long WHERE gap IS NOT NULL AND group_count >= min_count
+)
+SELECT applicant_group, CAST(recommendation AS INTEGER) AS recommendation, lei, institution_name,
+       city, state, total_loans, white_rate, group_rate, gap
+FROM ranked WHERE recommendation <= {top_n}
+"""
+
+
+@register("lender_recommendations", _recommend_sql(FIXTURE_MIN_COUNT))
+def q_lender_recommendations(spark, sf):
+    from lendlens.operators import lenders
+    fair = q_lender_fairness(spark, sf)
+    return lenders.recommend_lenders(fair, top_n=5)
+
+
+# ==========================================================================
+# Q6 lender summary and league tables
+# ==========================================================================
+def _summary_sql(min_apps: int = codes.MIN_APPS) -> str:
+    return f"""{O.with_tables('applications', 'registry')},
+h AS (
+  SELECT {O.norm_key('lei')} AS lei, action_taken AS act FROM applications
+), s0 AS (
+  SELECT lei, CAST(count(CASE WHEN act = 1 THEN 1 END) AS BIGINT) AS approved_count,
+         CAST(count(CASE WHEN act = 3 THEN 1 END) AS BIGINT) AS denied_count
+  FROM h WHERE lei IS NOT NULL AND lei NOT IN ('', 'NAN') AND act IN (1, 3)
+  GROUP BY lei
+), s1 AS (
+  SELECT *, approved_count + denied_count AS total_apps FROM s0
+  WHERE approved_count + denied_count >= {min_apps}
+), s2 AS (
+  SELECT *, CAST(approved_count AS DOUBLE) / total_apps AS approval_rate,
+            CAST(denied_count AS DOUBLE) / total_apps AS denial_rate FROM s1
+), reg AS (
+  SELECT {O.norm_key('"LEI"')} AS rlei,
+         min(CASE WHEN trim("Entity.LegalName", ' \t\r\n') IN {O.lit_list(codes.NAME_PLACEHOLDERS)}
+                  THEN NULL ELSE trim("Entity.LegalName", ' \t\r\n') END) AS legal_name
+  FROM registry
+  WHERE {O.norm_key('"LEI"')} IS NOT NULL AND {O.norm_key('"LEI"')} NOT IN ('', 'NAN')
+  GROUP BY 1
+), summary AS (
+  SELECT s2.lei, coalesce(reg.legal_name, '{codes.UNKNOWN_NAME}') AS legal_name,
+         approved_count, denied_count, total_apps, approval_rate,
+         {O.rnd('approval_rate * 100.0', 2)} AS approval_rate_pct,
+         denial_rate, {O.rnd('denial_rate * 100.0', 2)} AS denial_rate_pct,
+         reg.legal_name IS NOT NULL AS name_found
+  FROM s2 LEFT JOIN reg ON s2.lei = reg.rlei
+)"""
+
+
+@register("lender_summary", _summary_sql() + "\nSELECT * FROM summary")
+def q_lender_summary(spark, sf):
+    from lendlens.operators import lenders
+    return lenders.approval_summary(_apps(spark, sf), _registry(spark, sf))
+
+
+@register("unmatched_lenders", _summary_sql() + "\nSELECT * FROM summary WHERE NOT name_found")
+def q_unmatched_lenders(spark, sf):
+    from lendlens.operators import lenders
+    return lenders.unmatched_lenders(q_lender_summary(spark, sf))
+
+
+def _league(by: str, named: bool):
+    from lendlens.operators.lenders import LEAGUE_ORDERS
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in LEAGUE_ORDERS[by]) + ", lei ASC"
+    where = f"WHERE legal_name <> '{codes.UNKNOWN_NAME}'" if named else ""
+    sql = (_summary_sql() + f"\nSELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank "
+           f"FROM summary {where}")
+
+    def fn(spark, sf):
+        from lendlens.operators import lenders
+        return lenders.league_table(q_lender_summary(spark, sf), by, named_only=named)
+    return fn, sql
+
+
+for _by in ("approvals", "denials", "approval_rate", "denial_rate"):
+    for _named in (False, True):
+        _fn, _sql = _league(_by, _named)
+        register(("named_" if _named else "") + f"top_by_{_by}", _sql)(_fn)
+
+
+@register("registry_dedup", f"""{O.with_tables('registry')}
+SELECT {O.norm_key('"LEI"')} AS lei,
+       min(CASE WHEN trim("Entity.LegalName", ' \t\r\n') IN {O.lit_list(codes.NAME_PLACEHOLDERS)}
+                THEN NULL ELSE trim("Entity.LegalName", ' \t\r\n') END) AS legal_name
+FROM registry
+WHERE {O.norm_key('"LEI"')} IS NOT NULL AND {O.norm_key('"LEI"')} NOT IN ('', 'NAN')
+GROUP BY 1""")
+def q_registry_dedup(spark, sf):
+    from lendlens.operators import lenders
+    return lenders.registry_dedup(_registry(spark, sf))
+
+
+# ==========================================================================
+# Q5 outcome distribution
+# ==========================================================================
+def _action_label_sql(col: str) -> str:
+    return "CASE " + col + " " + " ".join(
+        f"WHEN {k} THEN '{v}'" for k, v in codes.ACTION_LABELS.items()) + " END"
+
+
+def _years_codes_sql() -> str:
+    years = ", ".join(f"({y})" for y in codes.YEARS)
+    acts = ", ".join(f"({k})" for k in codes.ACTION_LABELS)
+    return (f"yrs AS (SELECT * FROM (VALUES {years}) t(activity_year)), "
+            f"acts AS (SELECT * FROM (VALUES {acts}) t(action_code))")
+
+
+@register("outcome_by_year_long", f"""{O.with_tables('applications')},
+{_years_codes_sql()},
+c AS (
+  SELECT activity_year, action_taken AS action_code, count(*) AS n FROM applications
+  WHERE activity_year IN {O.lit_list(codes.YEARS)} AND action_taken IN {O.lit_list(codes.ACTION_LABELS)}
+  GROUP BY 1, 2
+), g AS (
+  SELECT y.activity_year, a.action_code, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+  FROM yrs y, acts a
+  LEFT JOIN c ON c.activity_year = y.activity_year AND c.action_code = a.action_code
+)
+SELECT activity_year, action_code, {_action_label_sql('action_code')} AS outcome, count,
+       {O.rnd('CAST(count AS DOUBLE) / nullif(sum(count) OVER (PARTITION BY activity_year), 0) * 100.0', 2)} AS percent
+FROM g""")
+def q_outcome_by_year_long(spark, sf):
+    from lendlens.operators import aggs
+    apps = _apps(spark, sf)
+    return aggs.distribution(apps, "action_taken", list(codes.ACTION_LABELS), codes.ACTION_LABELS,
+                             by="activity_year", by_domain=codes.YEARS)
+
+
+@register("outcome_distribution", f"""{O.with_tables('applications')},
+{_years_codes_sql()},
+c AS (
+  SELECT action_taken AS action_code, count(*) AS n FROM applications
+  WHERE activity_year IN {O.lit_list(codes.YEARS)} AND action_taken IN {O.lit_list(codes.ACTION_LABELS)}
+  GROUP BY 1
+), g AS (
+  SELECT a.action_code, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+  FROM acts a LEFT JOIN c ON c.action_code = a.action_code
+)
+SELECT action_code, {_action_label_sql('action_code')} AS outcome, count,
+       {O.rnd('CAST(count AS DOUBLE) / nullif(sum(count) OVER (), 0) * 100.0', 2)} AS percent
+FROM g""")
+def q_outcome_distribution(spark, sf):
+    from lendlens.operators import aggs
+    apps = _apps(spark, sf).filter("activity_year IN (2019, 2020, 2021, 2022, 2023, 2024)")
+    return aggs.distribution(apps, "action_taken", list(codes.ACTION_LABELS), codes.ACTION_LABELS)
+
+
+def _wide_sql() -> str:
+    from lendlens.operators.aggs import snake
+    cols = ",\n  ".join(
+        f"CAST(count(CASE WHEN action_taken = {k} THEN 1 END) AS BIGINT) AS {snake(v)}"
+        for k, v in codes.ACTION_LABELS.items())
+    outs = ", ".join(f"CAST(coalesce(w.{snake(v)}, 0) AS BIGINT) AS {snake(v)}"
+                     for v in codes.ACTION_LABELS.values())
+    return f"""{O.with_tables('applications')},
+{_years_codes_sql()},
+w AS (
+  SELECT activity_year,
+  {cols}
+  FROM applications
+  WHERE activity_year IN {O.lit_list(codes.YEARS)} AND action_taken IN {O.lit_list(codes.ACTION_LABELS)}
+  GROUP BY 1
+)
+SELECT y.activity_year, {outs} FROM yrs y LEFT JOIN w ON w.activity_year = y.activity_year"""
+
+
+@register("outcome_by_year_wide", _wide_sql())
+def q_outcome_by_year_wide(spark, sf):
+    from lendlens.operators import aggs
+    return aggs.crosstab(_apps(spark, sf), "activity_year", "action_taken", codes.YEARS,
+                         codes.ACTION_LABELS)
