@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lendlens.functions import codes
 from lendlens.plans import hmda
@@ -27,7 +28,8 @@ def register(name: str, sql: str | None = None):
 
 
 def _apps(spark, sf):
-    return adapter.bronze(spark, sf, "applications")
+    from lendlens.sources.landing import landed
+    return landed(spark, sf, "applications")
 
 
 def _registry(spark, sf):
@@ -282,3 +284,230 @@ def q_outcome_by_year_wide(spark, sf):
     from lendlens.operators import aggs
     return aggs.crosstab(_apps(spark, sf), "activity_year", "action_taken", codes.YEARS,
                          codes.ACTION_LABELS)
+
+
+# ==========================================================================
+# Q1 / Q2 cleaned datasets, Q3 merge + profiles, Q4 model table
+# ==========================================================================
+@register("clean_applications", f"{O.with_tables('applications')},\n{O.clean_apps_ctes()}\nSELECT * FROM clean")
+def q_clean_applications(spark, sf):
+    return hmda.clean_applications_from(_apps(spark, sf))
+
+
+@register("clean_denials", f"{O.with_tables('applications')},\n{O.clean_denials_ctes()}\nSELECT * FROM denied")
+def q_clean_denials(spark, sf):
+    return hmda.clean_denials_from(_apps(spark, sf))
+
+
+_CONFLICTED = ["interest_rate", "income", "property_value"] + codes.DENIAL_REASON_COLUMNS
+
+
+def _merged_ctes() -> str:
+    # clean_apps_ctes and clean_denials_ctes both define napps: define it once
+    den = O.clean_denials_ctes().split(",\nd1 AS", 1)[1]
+    as_text = lambda: ", ".join(f"CAST({O.qi(c)} AS VARCHAR) AS {O.qi(c)}" for c in _CONFLICTED)
+    return f"""{O.with_tables('applications')},
+{O.clean_apps_ctes()},
+d1 AS{den},
+u AS (
+  SELECT * REPLACE ({as_text()}) FROM clean
+  UNION ALL BY NAME
+  SELECT * REPLACE ({as_text()}) FROM denied
+), merged AS (
+  SELECT *, CASE WHEN action_taken IN (1, 2) THEN 1 ELSE 0 END AS approved
+  FROM u WHERE action_taken IN (1, 2, 3, 7)
+)"""
+
+
+def _merged(spark, sf):
+    apps = _apps(spark, sf)
+    return hmda.merge_outcomes_from(hmda.clean_applications_from(apps),
+                                    hmda.clean_denials_from(apps))
+
+
+@register("merge_outcomes", _merged_ctes() + "\nSELECT * FROM merged")
+def q_merge_outcomes(spark, sf):
+    return _merged(spark, sf)
+
+
+@register("class_balance", _merged_ctes() + """
+SELECT approved, count(*) AS count, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share
+FROM merged GROUP BY approved""")
+def q_class_balance(spark, sf):
+    from lendlens.operators import aggs
+    return aggs.class_balance(_merged(spark, sf), "approved")
+
+
+def _null_profile_sql() -> str:
+    cols = O.APP_COLUMNS + [c + "_label" for c in codes.DENIAL_REASON_COLUMNS] + [
+        "action_taken_label", "approved"]
+    counts = ",\n  ".join(f"CAST(count(*) - count({O.qi(c)}) AS BIGINT) AS {O.qi(c)}" for c in cols)
+    unp = "\n  UNION ALL ".join(f"SELECT '{c}' AS column_name, {O.qi(c)} AS null_count FROM w" for c in cols)
+    return _merged_ctes() + f""",
+w AS (SELECT
+  {counts}
+  FROM merged
+), l AS (
+  {unp}
+)
+SELECT column_name, null_count,
+       CAST(row_number() OVER (ORDER BY null_count DESC, column_name ASC) AS INTEGER) AS position
+FROM l QUALIFY position <= 10"""
+
+
+@register("null_profile", _null_profile_sql())
+def q_null_profile(spark, sf):
+    from lendlens.operators import aggs
+    return (aggs.null_profile(_merged(spark, sf), top=10)
+            .withColumnRenamed("column", "column_name")
+            .withColumn("position", F.col("position").cast("int")))
+
+
+def _model_features_sql() -> str:
+    from lendlens.plans.hmda import MODEL_CODES, MODEL_NUMERIC_TEXT
+    sel = []
+    for c in codes.MODEL_FEATURES:
+        qc = O.qi(c)
+        if c in MODEL_NUMERIC_TEXT:
+            sel.append(f"CASE WHEN trim({qc}, ' \t\r\n') = 'Exempt' THEN CAST(-1 AS DOUBLE) "
+                       f"ELSE {O.num_commas(qc)} END AS {qc}")
+        elif c in MODEL_CODES:
+            sel.append(f"CAST({qc} AS DOUBLE) AS {qc}")
+        elif c in codes.MODEL_CATEGORICAL:
+            sel.append(f"coalesce({qc}, 'Missing') AS {qc}")
+        else:
+            sel.append(qc)
+    return f"""{O.with_tables('applications')},
+{O.napps_cte()},
+mf AS (SELECT action_taken, activity_year, {", ".join(sel)} FROM napps),
+model AS (
+  SELECT * EXCLUDE (action_taken, activity_year), 1 AS approved FROM mf WHERE action_taken = 1
+  UNION ALL
+  SELECT * EXCLUDE (action_taken, activity_year), 0 AS approved FROM mf WHERE action_taken = 3
+)"""
+
+
+@register("labelled_union", _model_features_sql() + "\nSELECT * FROM model")
+def q_labelled_union(spark, sf):
+    return hmda.model_table_from(_apps(spark, sf))
+
+
+# ==========================================================================
+# Q9 rate by race, controlled
+# ==========================================================================
+def _rate_ctes() -> str:
+    return f"""{O.with_tables('applications')},
+{O.clean_apps_ctes()},
+r AS (
+  SELECT interest_rate, derived_race, {O.first_number('debt_to_income_ratio')} AS dti_numeric,
+         {O.num('income')} * 1000.0 AS income_annual
+  FROM clean WHERE derived_race IN {O.lit_list(codes.RACES)}
+), r2 AS (
+  SELECT * FROM r
+  WHERE interest_rate IS NOT NULL AND dti_numeric IS NOT NULL AND income_annual IS NOT NULL
+    AND interest_rate > 1 AND interest_rate < 15 AND dti_numeric >= 0 AND dti_numeric <= 65
+    AND income_annual > 0 AND income_annual < 500000
+), b AS (
+  SELECT *, {O.cut('dti_numeric', codes.DTI_EDGES, codes.DTI_BIN_LABELS)} AS dti_bin,
+            {O.cut('income_annual', codes.INCOME_EDGES, codes.INCOME_BIN_LABELS)} AS income_bin,
+            {O.map_case('derived_race', codes.RACE_SHORT)} AS race_short
+  FROM r2
+)"""
+
+
+@register("rate_by_dti_race", _rate_ctes() + """
+SELECT dti_bin, race_short, avg(interest_rate) AS avg_interest_rate FROM b
+WHERE dti_bin IS NOT NULL AND race_short IS NOT NULL GROUP BY 1, 2""")
+def q_rate_by_dti_race(spark, sf):
+    return hmda.rate_by_dti_race_from(q_clean_applications(spark, sf))
+
+
+@register("rate_by_income_race", _rate_ctes() + """
+SELECT income_bin, race_short, avg(interest_rate) AS avg_interest_rate FROM b
+WHERE income_bin IS NOT NULL AND race_short IS NOT NULL GROUP BY 1, 2""")
+def q_rate_by_income_race(spark, sf):
+    return hmda.rate_by_income_race_from(q_clean_applications(spark, sf))
+
+
+@register("rate_by_dti_income_race", _rate_ctes() + f"""
+SELECT income_bin || ' / DTI ' || dti_bin AS combined_bin, race_short,
+       avg(interest_rate) AS avg_interest_rate
+FROM b WHERE dti_bin IN {O.lit_list(codes.MID_DTI_BINS)} AND income_bin IN {O.lit_list(codes.MID_INCOME_BINS)}
+  AND race_short IS NOT NULL
+GROUP BY 1, 2""")
+def q_rate_by_dti_income_race(spark, sf):
+    return hmda.rate_by_dti_income_race_from(q_clean_applications(spark, sf))
+
+
+# ==========================================================================
+# Q10 county and postal summaries
+# ==========================================================================
+def _county_ctes() -> str:
+    tidy = O.zfill("trim(CAST(county_code AS VARCHAR), ' \t\r\n')", 5)
+    return f"""{O.with_tables('applications', 'counties')},
+{O.clean_apps_ctes()},
+metrics AS (
+  SELECT county_code, count(*) AS total_loans, avg(loan_amount) AS avg_loan,
+         avg(interest_rate) AS avg_rate
+  FROM clean GROUP BY county_code
+), t0 AS (
+  SELECT {tidy} AS county_code, {O.num('total_loans')} AS total_loans,
+         {O.num('avg_loan')} AS avg_loan, {O.num('avg_rate')} AS avg_rate
+  FROM metrics
+), tidy AS (
+  SELECT * FROM t0 WHERE starts_with(county_code, '{codes.STATE_FIPS}')
+    AND county_code IS NOT NULL AND total_loans IS NOT NULL AND avg_loan IS NOT NULL
+    AND avg_rate IS NOT NULL
+)"""
+
+
+@register("county_metrics", _county_ctes() + "\nSELECT * FROM metrics")
+def q_county_metrics(spark, sf):
+    return hmda.county_metrics_from(q_clean_applications(spark, sf))
+
+
+@register("county_named", _county_ctes() + f"""
+SELECT *, {O.map_case('county_code', codes.COUNTY_NAMES, 'county_code')} AS county_name
+FROM tidy WHERE avg_loan > 0 AND avg_rate > 0""")
+def q_county_named(spark, sf):
+    return hmda.county_named_from(q_county_metrics(spark, sf))
+
+
+@register("county_map", _county_ctes() + f""",
+dim AS (
+  SELECT "STATEFP", "COUNTYFP", {O.zfill('"STATEFP"', 2)} || {O.zfill('"COUNTYFP"', 3)} AS county_code
+  FROM counties WHERE "STATEFP" = '{codes.STATE_FIPS}'
+)
+SELECT dim.county_code, dim."STATEFP", dim."COUNTYFP", tidy.total_loans, tidy.avg_loan, tidy.avg_rate
+FROM dim LEFT JOIN tidy ON dim.county_code = tidy.county_code
+WHERE tidy.total_loans IS NOT NULL AND tidy.avg_loan IS NOT NULL AND tidy.avg_rate IS NOT NULL""")
+def q_county_map(spark, sf):
+    return hmda.county_map_from(q_county_metrics(spark, sf), adapter.bronze(spark, sf, "counties"))
+
+
+def _postal_ctes() -> str:
+    z = O.zfill("substr(trim(CAST(\"Entity.HeadquartersAddress.PostalCode\" AS VARCHAR), ' \t\r\n'), 1, 5)", 5)
+    return f"""{O.with_tables('postal', 'areas')},
+p AS (SELECT {z} AS "ZIP5", "Company_Count" AS c FROM postal WHERE "Reigon_Clean" = '{codes.STATE_REGION}'),
+counts AS (
+  SELECT "ZIP5", CAST(sum(c) AS BIGINT) AS company_count FROM p
+  WHERE regexp_full_match("ZIP5", '^\\d{{5}}$') GROUP BY 1
+)"""
+
+
+@register("postal_counts", _postal_ctes() + "\nSELECT * FROM counts")
+def q_postal_counts(spark, sf):
+    from lendlens.operators import aggs
+    return aggs.postal_counts(adapter.bronze(spark, sf, "postal"))
+
+
+_BX = codes.STATE_BBOX
+
+
+@register("postal_areas", _postal_ctes() + f"""
+SELECT a.ZIP5, a.minx, a.miny, a.maxx, a.maxy, counts.company_count
+FROM (SELECT * REPLACE ({O.zfill('"ZIP5"', 5)} AS "ZIP5") FROM areas) a
+JOIN counts ON a."ZIP5" = counts."ZIP5"
+WHERE a.maxx >= {_BX[0]} AND a.minx <= {_BX[2]} AND a.maxy >= {_BX[1]} AND a.miny <= {_BX[3]}""")
+def q_postal_areas(spark, sf):
+    return hmda.postal_areas_from(adapter.bronze(spark, sf, "postal"), adapter.bronze(spark, sf, "areas"))

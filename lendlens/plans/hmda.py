@@ -88,3 +88,147 @@ def clean_denials_from(apps: DataFrame, keep_30_36: bool = False,
                                                                codes.DENIAL_REASON_LABELS.items()}))
     df = FL.require_non_null(df, codes.DENIAL_REQUIRED)
     return df.withColumn("action_taken_label", F.lit(codes.ACTION_LABELS[3]))
+
+
+# --------------------------------------------------------------------------
+# Q3 / Q4 — merged outcomes and labelled model table
+# --------------------------------------------------------------------------
+def merge_outcomes_from(cleaned: DataFrame, denied: DataFrame,
+                        approved_codes=(1, 2), denied_codes=(3, 7)) -> DataFrame:
+    """Q3: union keeping all columns (U2) → decided codes (F1) → label."""
+    from lendlens.sources.tables import union_all_columns
+    df = union_all_columns(cleaned, denied)
+    df = df.filter(F.col("action_taken").isin(*approved_codes, *denied_codes))
+    return df.withColumn("approved", X.flag("action_taken", approved_codes))
+
+
+# numeric features whose exempt marker becomes -1 in the filled model files
+MODEL_NUMERIC_TEXT = ["loan_amount", "loan_to_value_ratio", "loan_term",
+                      "prepayment_penalty_term", "intro_rate_period",
+                      "tract_to_msa_income_percentage", "ffiec_msa_md_median_family_income"]
+MODEL_CODES = ["applicant_credit_score_type", "preapproval", "loan_purpose", "lien_status",
+               "reverse_mortgage", "open-end_line_of_credit",
+               "manufactured_home_secured_property_type",
+               "manufactured_home_land_property_interest", "co-applicant_sex",
+               "co-applicant_sex_observed", "co-applicant_ethnicity_observed"]
+
+
+def model_features_from(apps: DataFrame, extra: tuple = ("action_taken", "activity_year")) -> DataFrame:
+    """The 23 model features, typed and filled (text NULL → ``Missing``,
+    exempt numerics → -1); NULL numerics stay NULL for median imputation."""
+    df = normalize_na(apps)
+    sel = [q(c) for c in extra]
+    for c in codes.MODEL_FEATURES:
+        if c in MODEL_NUMERIC_TEXT:
+            sel.append(F.when(X.strip(q(c)) == "Exempt", F.lit(-1.0))
+                       .otherwise(X.to_number_commas(q(c))).alias(c))
+        elif c in MODEL_CODES:
+            sel.append(q(c).cast("double").alias(c))
+        elif c in codes.MODEL_CATEGORICAL:
+            sel.append(F.coalesce(q(c), F.lit("Missing")).alias(c))
+        else:
+            sel.append(q(c))
+    return df.select(*sel)
+
+
+def model_table_from(apps: DataFrame) -> DataFrame:
+    """Q4: approved (code 1) and denied (code 3) files, labelled and unioned,
+    leakage columns dropped (U3). Fill happens on both files alike."""
+    from lendlens.sources.tables import labelled_union
+    feats = model_features_from(apps)
+    return labelled_union(feats.filter(F.col("action_taken") == 1),
+                          feats.filter(F.col("action_taken") == 3))
+
+
+# --------------------------------------------------------------------------
+# Q9 — interest rate by race, controlled for DTI and income
+# --------------------------------------------------------------------------
+def rate_inputs_from(cleaned: DataFrame) -> DataFrame:
+    """Q9 prep: 4 groups → first number of DTI, income ×1000 → drop missing →
+    outlier guard → ``[lo,hi)`` bins and short group names."""
+    df = cleaned.filter(F.col("derived_race").isin(codes.RACES))
+    df = (df.select("interest_rate", "derived_race",
+                    X.first_number("debt_to_income_ratio").alias("dti_numeric"),
+                    (X.to_number("income") * F.lit(1000.0)).alias("income_annual"))
+          .dropna(subset=["interest_rate", "dti_numeric", "income_annual", "derived_race"])
+          .filter(FL.in_range(F.col("interest_rate"), 1, 15)
+                  & FL.in_range(F.col("dti_numeric"), 0, 65, lo_closed=True, hi_closed=True)
+                  & FL.in_range(F.col("income_annual"), 0, 500000)))
+    return (df.withColumn("dti_bin", X.cut("dti_numeric", codes.DTI_EDGES, codes.DTI_BIN_LABELS))
+              .withColumn("income_bin", X.cut("income_annual", codes.INCOME_EDGES,
+                                              codes.INCOME_BIN_LABELS))
+              .withColumn("race_short", X.map_codes("derived_race", codes.RACE_SHORT)))
+
+
+def rate_by_dti_race_from(cleaned: DataFrame) -> DataFrame:
+    from lendlens.operators.aggs import controlled_means
+    return controlled_means(rate_inputs_from(cleaned), ["dti_bin"], "race_short",
+                            "interest_rate", "avg_interest_rate")
+
+
+def rate_by_income_race_from(cleaned: DataFrame) -> DataFrame:
+    from lendlens.operators.aggs import controlled_means
+    return controlled_means(rate_inputs_from(cleaned), ["income_bin"], "race_short",
+                            "interest_rate", "avg_interest_rate")
+
+
+def rate_by_dti_income_race_from(cleaned: DataFrame) -> DataFrame:
+    """Both controls: mid DTI bins × mid-to-high income bins."""
+    from lendlens.operators.aggs import controlled_means
+    df = rate_inputs_from(cleaned)
+    df = df.filter(F.col("dti_bin").isin(codes.MID_DTI_BINS)
+                   & F.col("income_bin").isin(codes.MID_INCOME_BINS))
+    df = df.withColumn("combined_bin", F.concat("income_bin", F.lit(" / DTI "), "dti_bin"))
+    return controlled_means(df, ["combined_bin"], "race_short", "interest_rate",
+                            "avg_interest_rate")
+
+
+# --------------------------------------------------------------------------
+# Q10 — county and postal-code summaries
+# --------------------------------------------------------------------------
+def county_metrics_from(cleaned: DataFrame) -> DataFrame:
+    """The county table the maps consume (applications, mean amount,
+    mean rate per county)."""
+    from lendlens.operators.aggs import county_summary
+    return county_summary(cleaned)
+
+
+def _tidy_county_metrics(metrics: DataFrame) -> DataFrame:
+    """Header strip+lower, 5-digit code, numbers coerced, state prefix, no gaps."""
+    from lendlens.sources.tables import clean_columns
+    m = clean_columns(metrics, "lower").select(
+        X.zfill(X.strip(F.col("county_code").cast("string")), 5).alias("county_code"),
+        X.to_number("total_loans").alias("total_loans"),
+        X.to_number("avg_loan").alias("avg_loan"),
+        X.to_number("avg_rate").alias("avg_rate"))
+    m = m.filter(F.col("county_code").startswith(codes.STATE_FIPS))
+    return m.dropna(subset=["county_code", "total_loans", "avg_loan", "avg_rate"])
+
+
+def county_map_from(metrics: DataFrame, counties: DataFrame) -> DataFrame:
+    """State counties (dimension) left-joined to metrics, no-data dropped."""
+    dim = counties.filter(F.col("STATEFP") == codes.STATE_FIPS).withColumn(
+        "county_code", F.concat(X.zfill("STATEFP", 2), X.zfill("COUNTYFP", 3)))
+    m = _tidy_county_metrics(metrics)
+    # both sides hold at most one row per county of the state: bounded
+    out = dim.join(F.broadcast(m), "county_code", "left")
+    return out.dropna(subset=["total_loans", "avg_loan", "avg_rate"])
+
+
+def county_named_from(metrics: DataFrame) -> DataFrame:
+    """C11 + F5: positive means only, county name with fallback to the code."""
+    m = _tidy_county_metrics(metrics)
+    m = m.filter((F.col("avg_loan") > 0) & (F.col("avg_rate") > 0))
+    return m.withColumn("county_name", X.map_codes("county_code", codes.COUNTY_NAMES,
+                                                   fallback_to_code=True))
+
+
+def postal_areas_from(postal: DataFrame, areas: DataFrame,
+                      bbox=codes.STATE_BBOX) -> DataFrame:
+    """A9 → J4 → F11: company counts per ZIP joined to the postal-area
+    dimension, kept where the area box overlaps the state box."""
+    from lendlens.operators.aggs import postal_counts
+    counts = postal_counts(postal)
+    dim = areas.withColumn("ZIP5", X.zfill(F.col("ZIP5").cast("string"), 5))
+    minx, miny, maxx, maxy = bbox
+    return FL.bbox_filter(dim.join(counts, "ZIP5", "inner"), minx, miny, maxx, maxy)
