@@ -511,3 +511,216 @@ JOIN counts ON a."ZIP5" = counts."ZIP5"
 WHERE a.maxx >= {_BX[0]} AND a.minx <= {_BX[2]} AND a.maxy >= {_BX[1]} AND a.miny <= {_BX[3]}""")
 def q_postal_areas(spark, sf):
     return hmda.postal_areas_from(adapter.bronze(spark, sf, "postal"), adapter.bronze(spark, sf, "areas"))
+
+
+# ==========================================================================
+# ML support queries with oracles (over the Q4 model table)
+# ==========================================================================
+def _model(spark, sf):
+    return hmda.model_table_from(_apps(spark, sf))
+
+
+_NUMERIC_FEATURES = [c for c in codes.MODEL_FEATURES
+                     if c not in codes.MODEL_CATEGORICAL and c != "debt_to_income_ratio"]
+
+
+def _dti_ord_sql(col: str) -> str:
+    return "CASE " + col + " " + " ".join(
+        f"WHEN '{v}' THEN {i}" for i, v in enumerate(codes.DTI_ORDER)) + " END"
+
+
+@register("model_medians", _model_features_sql() + ",\nm2 AS (SELECT *, " + _dti_ord_sql("debt_to_income_ratio")
+          + " AS dti_ordinal FROM model)\nSELECT "
+          + ", ".join(f"median({O.qi(c)}) AS {O.qi(c)}" for c in _NUMERIC_FEATURES + ["dti_ordinal"])
+          + " FROM m2")
+def q_model_medians(spark, sf):
+    from lendlens.ml.features import dti_ordinal
+    from lendlens.operators.aggs import column_medians
+    m = _model(spark, sf).withColumn("dti_ordinal", dti_ordinal("debt_to_income_ratio"))
+    return column_medians(m, _NUMERIC_FEATURES + ["dti_ordinal"])
+
+
+@register("class_weights", _model_features_sql() + """,
+c AS (SELECT approved, count(*) AS count FROM model GROUP BY approved),
+t AS (SELECT sum(count) AS n, max(CASE WHEN approved = 0 THEN count END) AS neg,
+             max(CASE WHEN approved = 1 THEN count END) AS pos FROM c)
+SELECT approved, count,
+       CAST(n AS DOUBLE) / (2 * count) AS balanced_weight,
+       CASE WHEN approved = 1 THEN CAST(neg AS DOUBLE) / pos ELSE 1.0 END AS pos_ratio_weight
+FROM c, t""")
+def q_class_weights(spark, sf):
+    from lendlens.ml.features import class_counts
+    m = _model(spark, sf)
+    counts = class_counts(m, "approved")
+    n = sum(counts.values())
+    neg, pos = counts.get(0, 0), counts.get(1, 0)
+    return (m.groupBy("approved").agg(F.count(F.lit(1)).alias("count"))
+            .withColumn("balanced_weight", F.lit(float(n)) / (2 * F.col("count")))
+            .withColumn("pos_ratio_weight", F.when(F.col("approved") == 1, F.lit(neg / pos if pos else None))
+                        .otherwise(F.lit(1.0))))
+
+
+def rule_score(df):
+    """Deterministic baseline score for evaluation checks: lower DTI bracket
+    scores higher; loan-to-value breaks ties."""
+    from lendlens.ml.features import dti_ordinal
+    ordv = F.coalesce(dti_ordinal("debt_to_income_ratio"), F.lit(8))
+    ltv = F.coalesce(F.col("loan_to_value_ratio"), F.lit(0.0))
+    return df.withColumn("score", (F.lit(8) - ordv) / F.lit(8.0) + ltv / F.lit(10000.0))
+
+
+_RULE_SQL = ("(8 - coalesce(" + _dti_ord_sql("debt_to_income_ratio") + ", 8)) / CAST(8 AS DOUBLE) "
+             "+ coalesce(loan_to_value_ratio, CAST(0 AS DOUBLE)) / CAST(10000 AS DOUBLE)")
+
+
+def _roc_ctes() -> str:
+    return _model_features_sql() + f""",
+s AS (SELECT approved AS label, {_RULE_SQL} AS score FROM model),
+g AS (SELECT score AS threshold, CAST(sum(label) AS BIGINT) AS pos,
+             CAST(count(*) - sum(label) AS BIGINT) AS neg FROM s GROUP BY score),
+cum AS (SELECT *, CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tps,
+                  CAST(sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fps
+        FROM g),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g),
+roc AS (SELECT threshold, pos, neg, tps, fps, CAST(tps AS DOUBLE) / P AS tpr,
+               CAST(fps AS DOUBLE) / N AS fpr FROM cum, tot),
+yj AS (SELECT threshold AS yt, tpr - fpr AS j FROM roc ORDER BY j DESC, threshold DESC LIMIT 1)"""
+
+
+def _rule_roc(spark, sf):
+    from lendlens.ml import evaluate as EV
+    return EV.roc_curve(rule_score(_model(spark, sf)), "approved", "score")
+
+
+@register("roc_curve", _roc_ctes() + "\nSELECT * FROM roc")
+def q_roc_curve(spark, sf):
+    return _rule_roc(spark, sf)
+
+
+@register("auc", _roc_ctes() + """
+SELECT sum(neg * (2 * tps - pos)) / (2.0 * sum(neg) * max(tps)) AS auc FROM roc""")
+def q_auc(spark, sf):
+    from lendlens.ml import evaluate as EV
+    return EV.auc_from_roc(_rule_roc(spark, sf))
+
+
+@register("youden_threshold", _roc_ctes() + "\nSELECT yt AS threshold, j AS youden_j FROM yj")
+def q_youden_threshold(spark, sf):
+    from lendlens.ml import evaluate as EV
+    return EV.youden_threshold(_rule_roc(spark, sf))
+
+
+def _report_sql() -> str:
+    def d(a, b):
+        return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
+
+    def f(p, r):
+        return f"coalesce((2 * {p} * {r}) / nullif({p} + {r}, 0), 0.0)"
+    p1, r1, p0, r0 = d("tp", "tp + fp"), d("tp", "tp + fn"), d("tn", "tn + fn"), d("tn", "tn + fp")
+    return _roc_ctes() + f""",
+pr AS (SELECT label, CASE WHEN score >= (SELECT yt FROM yj) THEN 1 ELSE 0 END AS prediction FROM s),
+cm AS (SELECT count(CASE WHEN label = 1 AND prediction = 1 THEN 1 END) AS tp,
+              count(CASE WHEN label = 0 AND prediction = 1 THEN 1 END) AS fp,
+              count(CASE WHEN label = 1 AND prediction = 0 THEN 1 END) AS fn,
+              count(CASE WHEN label = 0 AND prediction = 0 THEN 1 END) AS tn FROM pr),
+m AS (SELECT *, {p1} AS p1, {r1} AS r1, {p0} AS p0, {r0} AS r0, tp + fn AS s1, tn + fp AS s0 FROM cm)
+SELECT '0' AS class, p0 AS precision, r0 AS recall, {f('p0', 'r0')} AS f1_score, s0 AS support FROM m
+UNION ALL SELECT '1', p1, r1, {f('p1', 'r1')}, s1 FROM m
+UNION ALL SELECT 'accuracy', NULL, NULL, {d('tp + tn', 's0 + s1')}, s0 + s1 FROM m
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, ({f('p0', 'r0')} + {f('p1', 'r1')}) / 2, s0 + s1 FROM m
+UNION ALL SELECT 'weighted avg', {d('p0 * s0 + p1 * s1', 's0 + s1')}, {d('r0 * s0 + r1 * s1', 's0 + s1')},
+  {d(f'{f("p0", "r0")} * s0 + {f("p1", "r1")} * s1', 's0 + s1')}, s0 + s1 FROM m"""
+
+
+@register("classification_report", _report_sql())
+def q_classification_report(spark, sf):
+    from lendlens.ml import evaluate as EV
+    scored = rule_score(_model(spark, sf))
+    t = EV.youden_threshold(EV.roc_curve(scored, "approved", "score")).first()["threshold"]
+    return EV.classification_report(EV.predictions(scored, "score", t), "approved")
+
+
+@register("counterfactual_grid", _model_features_sql() + ",\nraces AS (SELECT * FROM (VALUES "
+          + ", ".join(f"('{r}')" for r in codes.RACES) + ") t(r))\n"
+          "SELECT model.* REPLACE (races.r AS derived_race) FROM model, races")
+def q_counterfactual_grid(spark, sf):
+    from lendlens.ml.counterfactual import counterfactual_grid
+    return counterfactual_grid(_model(spark, sf), "derived_race", codes.RACES, id_col=None)
+
+
+@register("dti_ordinal", _model_features_sql() + "\nSELECT debt_to_income_ratio, "
+          + _dti_ord_sql("debt_to_income_ratio") + " AS dti_ordinal, count(*) AS count FROM model GROUP BY 1, 2")
+def q_dti_ordinal(spark, sf):
+    from lendlens.ml.features import dti_ordinal
+    return (_model(spark, sf).groupBy("debt_to_income_ratio",
+                                      dti_ordinal("debt_to_income_ratio").alias("dti_ordinal"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("dti_rebin", f"""{O.with_tables('applications')},
+{O.napps_cte()}
+SELECT debt_to_income_ratio AS raw_dti, {O.bin_dti('debt_to_income_ratio')} AS dti_bin, count(*) AS count
+FROM napps GROUP BY 1, 2""")
+def q_dti_rebin(spark, sf):
+    from lendlens.functions import exprs as X
+    from lendlens.sources.tables import normalize_na
+    apps = normalize_na(_apps(spark, sf).select("debt_to_income_ratio"))
+    return (apps.groupBy(F.col("debt_to_income_ratio").alias("raw_dti"),
+                         X.bin_dti("debt_to_income_ratio").alias("dti_bin"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("ratio_features", f"""{O.with_tables('applications')},
+{O.clean_apps_ctes()}
+SELECT src_orderkey, src_linenumber, src_partkey,
+       loan_amount / nullif({O.num('income')} + 1, 0) AS loan_to_income,
+       loan_amount / nullif({O.num('property_value')} + 1, 0) AS loan_to_value,
+       {O.num('income')} / nullif({O.num('tract_population')} + 1, 0) AS income_per_person
+FROM clean""")
+def q_ratio_features(spark, sf):
+    from lendlens.functions import exprs as X
+    c = q_clean_applications(spark, sf)
+    return c.select("src_orderkey", "src_linenumber", "src_partkey",
+                    X.safe_ratio("loan_amount", X.to_number("income")).alias("loan_to_income"),
+                    X.safe_ratio("loan_amount", X.to_number("property_value")).alias("loan_to_value"),
+                    X.safe_ratio(X.to_number("income"), X.to_number("tract_population"))
+                    .alias("income_per_person"))
+
+
+def _distinct_sql() -> str:
+    cols = codes.MODEL_FEATURES + ["approved"]
+    agg = ", ".join(f"count(DISTINCT {O.qi(c)}) AS {O.qi(c)}" for c in cols)
+    unp = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {O.qi(c)} AS n_distinct FROM w" for c in cols)
+    return _model_features_sql() + f",\nw AS (SELECT {agg} FROM model)\n{unp}"
+
+
+@register("distinct_profile", _distinct_sql())
+def q_distinct_profile(spark, sf):
+    from lendlens.operators.aggs import distinct_profile
+    return distinct_profile(_model(spark, sf)).withColumnRenamed("column", "column_name")
+
+
+_REDUCE_COLS = ["lei", "county_code", "derived_msa-md", "loan_term"]
+
+
+def _reduce_sql() -> str:
+    parts, outs = [], []
+    for c in _REDUCE_COLS:
+        qc = O.qi(c)
+        parts.append(f"""nd_{c.replace('-', '_')} AS (SELECT count(DISTINCT {qc}) AS n FROM clean),
+top_{c.replace('-', '_')} AS (
+  SELECT v FROM (SELECT CAST({qc} AS VARCHAR) AS v, count(*) AS k FROM clean WHERE {qc} IS NOT NULL GROUP BY 1)
+  QUALIFY row_number() OVER (ORDER BY k DESC, v ASC) <= 10)""")
+        outs.append(f"""CASE WHEN (SELECT n FROM nd_{c.replace('-', '_')}) <= 20 THEN {qc}
+     WHEN CAST({qc} AS VARCHAR) IN (SELECT v FROM top_{c.replace('-', '_')}) THEN CAST({qc} AS VARCHAR)
+     ELSE 'OTHER' END AS {qc}""")
+    return (f"{O.with_tables('applications')},\n{O.clean_apps_ctes()},\n" + ",\n".join(parts)
+            + "\nSELECT src_orderkey, src_linenumber, src_partkey, " + ",\n".join(outs) + " FROM clean")
+
+
+@register("reduce_categories", _reduce_sql())
+def q_reduce_categories(spark, sf):
+    from lendlens.operators.aggs import reduce_categories
+    c = q_clean_applications(spark, sf).select("src_orderkey", "src_linenumber", "src_partkey",
+                                                *[F.col(f"`{x}`") for x in _REDUCE_COLS])
+    return reduce_categories(c, _REDUCE_COLS, top_n=10, max_distinct=20)
