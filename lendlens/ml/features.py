@@ -82,6 +82,8 @@ def fit_feature_pipeline(train: DataFrame, label: str = "approved",
     feature names (one per vector slot, pandas ``get_dummies`` style).
     """
     cols = [c for c in train.columns if c != label]
+    types = dict(train.dtypes)
+    ordinal_cols = [c for c in ordinal_cols if types.get(c) == "string"]
     if categorical is None:
         categorical = [c for c, t in train.dtypes if t == "string" and c not in ordinal_cols and c != label]
     numeric = [c for c in cols if c not in categorical]

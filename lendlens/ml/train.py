@@ -31,6 +31,7 @@ from lendlens.functions import codes
 from lendlens.ml import evaluate as EV
 from lendlens.ml.features import (fit_feature_pipeline, stratified_split,
                                   with_class_weights, class_counts)
+from lendlens.session import materialize
 from lendlens.sources.tables import drop_existing
 
 
@@ -84,7 +85,7 @@ def train_approval_model(table: DataFrame, kind: str = "rf", label: str = "appro
     # train rows are read several times by the tree learner: materialise the
     # split once (reliable checkpoint in the shared folder)
     train, test = stratified_split(df, label, test_fraction, seed)
-    train = train.checkpoint(eager=True)
+    train = materialize(train, "train")
     counts = class_counts(train, label)
     encoder, names = fit_feature_pipeline(train, label)
     mode = "pos_ratio" if kind == "gbt" else "balanced"
@@ -141,7 +142,7 @@ def metrics_frame(spark: SparkSession, model: TrainedModel) -> DataFrame:
 # --------------------------------------------------------------------------
 def select_features(table: DataFrame, label: str = "approved", seed: int = 42,
                     num_c: int = 10, folds: int = 3, max_iter: int = 100,
-                    parallelism: int = 4) -> tuple[DataFrame, dict]:
+                    parallelism: int = 8) -> tuple[DataFrame, dict]:
     """M3 + M11: L1 logistic regression, penalty chosen by k-fold AUC.
 
     The reference's grid ``C = logspace(-4, 4, num_c)`` maps to Spark's
@@ -152,10 +153,9 @@ def select_features(table: DataFrame, label: str = "approved", seed: int = 42,
     from lendlens.ml.features import reduce_high_cardinality
     spark = table.sparkSession
     df = drop_existing(table, codes.SELECTION_DROP)
-    df = reduce_high_cardinality(df, [c for c, t in df.dtypes if t == "string"
-                                      and c != "debt_to_income_ratio"])
+    df = reduce_high_cardinality(df, [c for c, t in df.dtypes if t == "string"])
     train, test = stratified_split(df, label, 0.2, seed)
-    train = train.checkpoint(eager=True)
+    train = materialize(train, "selection-train")
     counts = class_counts(train, label)
     n = sum(counts.values())
     encoder, names = fit_feature_pipeline(train, label)

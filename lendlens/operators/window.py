@@ -6,9 +6,10 @@ range partition is numbered locally and shifted by the row counts (or sums)
 of all earlier partitions, which form a table with one row per partition —
 bounded by the partition count, so broadcasting it is safe.
 
-The range-partitioned rows are checkpointed (reliable checkpoint into the
-session's shared ``spark.checkpoint.dir``) after the partition id is attached,
-so a recomputation after an executor loss cannot re-place rows.
+The range-partitioned rows are written once (Parquet in the session's shared
+``spark.checkpoint.dir`` folder) after the partition id is attached as a
+column, so a recomputation after an executor loss cannot re-place rows; all
+later steps key on the stored id, not on physical partitions.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.session import ensure_checkpoint_dir
+from lendlens.session import materialize
 
 _PID = "_range_pid"
 
@@ -32,11 +33,10 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 def range_partitioned(df: DataFrame, order: Sequence[Column],
                       num_partitions: int | None = None) -> DataFrame:
     """Range-partition on ``order``, attach the partition id, checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
     parted = (df.repartitionByRange(n, *order)
               .withColumn(_PID, F.spark_partition_id()))
-    return parted.checkpoint(eager=True)
+    return materialize(parted, "ranged")
 
 
 def _offsets(parted: DataFrame, aggs: dict[str, Column]) -> DataFrame:

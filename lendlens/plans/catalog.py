@@ -724,3 +724,72 @@ def q_reduce_categories(spark, sf):
     c = q_clean_applications(spark, sf).select("src_orderkey", "src_linenumber", "src_partkey",
                                                 *[F.col(f"`{x}`") for x in _REDUCE_COLS])
     return reduce_categories(c, _REDUCE_COLS, top_n=10, max_distinct=20)
+
+
+# ==========================================================================
+# Trained models (rows-only checks: results depend on Spark ML internals)
+# ==========================================================================
+_MODELS: dict = {}
+
+
+def trained(spark, sf, kind: str):
+    """Fit a model kind once per (session, input) and reuse it."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _MODELS:
+        from lendlens.ml.train import train_approval_model
+        _MODELS[key] = train_approval_model(_model(spark, sf), kind=kind)
+    return _MODELS[key]
+
+
+def _metrics_df(spark, sf, kind):
+    from lendlens.ml.train import metrics_frame
+    return metrics_frame(spark, trained(spark, sf, kind)[0])
+
+
+register("train_rf")(lambda spark, sf: _metrics_df(spark, sf, "rf"))
+register("train_gbt")(lambda spark, sf: _metrics_df(spark, sf, "gbt"))
+register("train_fair")(lambda spark, sf: _metrics_df(spark, sf, "fair"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    from lendlens.ml.train import feature_importances
+    rows = feature_importances(trained(spark, sf, "rf")[0], top=20)
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+@register("select_features")
+def q_select_features(spark, sf):
+    return hmda.select_features_from(_apps(spark, sf))[0]
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf):
+    from lendlens.ml.features import stratified_split
+    train, test = stratified_split(_model(spark, sf), "approved", 0.2, 42)
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumn("split", F.lit("test")))
+            .groupBy("split", "approved").count())
+
+
+@register("score_applicants")
+def q_score_applicants(spark, sf):
+    from lendlens.functions import exprs as X
+    model = trained(spark, sf, "rf")[0]
+    scored = model.score(_model(spark, sf))
+    return scored.withColumn("decision", X.decision("p_approve", model.threshold))
+
+
+@register("bias_gap")
+def q_bias_gap(spark, sf):
+    from lendlens.ml.counterfactual import bias_gap
+    main, fair = trained(spark, sf, "rf")[0], trained(spark, sf, "fair")[0]
+    return bias_gap(_model(spark, sf).drop("approved"), main, fair)
+
+
+@register("group_gap_report")
+def q_group_gap_report(spark, sf):
+    from lendlens.ml.counterfactual import group_gap_report, race_grid
+    model = trained(spark, sf, "rf")[0]
+    grid = race_grid(_model(spark, sf).drop("approved"), with_tiers=True)
+    return group_gap_report(model.score(grid), "derived_race", "p_approve", "White", "scenario")

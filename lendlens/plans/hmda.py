@@ -232,3 +232,24 @@ def postal_areas_from(postal: DataFrame, areas: DataFrame,
     dim = areas.withColumn("ZIP5", X.zfill(F.col("ZIP5").cast("string"), 5))
     minx, miny, maxx, maxy = bbox
     return FL.bbox_filter(dim.join(counts, "ZIP5", "inner"), minx, miny, maxx, maxy)
+
+
+# --------------------------------------------------------------------------
+# Q11 — L1 feature selection on the raw decided applications
+# --------------------------------------------------------------------------
+def selection_input_from(apps: DataFrame) -> DataFrame:
+    """Q11 input: decided applications (codes 1, 3) with an approval flag,
+    leakage/identifier columns dropped, DTI as ordinal, column types inferred
+    over whole columns (number-only text → DOUBLE)."""
+    from lendlens.ml.features import dti_ordinal
+    from lendlens.sources.tables import drop_existing, infer_types
+    df = normalize_na(apps).filter(F.col("action_taken").isin(1, 3))
+    df = df.withColumn("approved", X.flag("action_taken", [1]))
+    df = drop_existing(df, codes.SELECTION_DROP + ["src_orderkey", "src_linenumber", "src_partkey"])
+    df = df.withColumn("debt_to_income_ratio", dti_ordinal("debt_to_income_ratio").cast("double"))
+    return infer_types(df)
+
+
+def select_features_from(apps: DataFrame, **kw):
+    from lendlens.ml.train import select_features
+    return select_features(selection_input_from(apps), **kw)

@@ -23,6 +23,14 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
+# Settings this package needs regardless of the session's value. Constraint
+# inference over the wide cleaning projections grows combinatorially (driver
+# OOM when a plan is cached, checkpointed or cross-validated); no plan here
+# relies on inferred constraints.
+REQUIRED_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "lendlens") -> SparkSession:
@@ -36,7 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("LENDLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -49,6 +57,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for k, v in DEFAULT_CONF.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
+    for k, v in REQUIRED_CONF.items():
+        spark.conf.set(k, v)
     return spark
 
 
@@ -68,3 +78,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="lendlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, label: str = "table"):
+    """Cut lineage by writing ``df`` as Parquet into the shared folder named
+    by ``spark.checkpoint.dir`` and reading it back (survives executor loss;
+    used where ``Dataset.checkpoint`` is unsuitable, e.g. on union plans)."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    root = base.rsplit("/", 1)[0] if "/" in base else base
+    path = f"{root}/lendlens-tables/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

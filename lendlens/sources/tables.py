@@ -194,3 +194,22 @@ def labelled_union(positive: DataFrame, negative: DataFrame, label: str = "appro
     out = union_all_columns(positive.withColumn(label, F.lit(1)),
                             negative.withColumn(label, F.lit(0)))
     return drop_existing(out, drop)
+
+
+def infer_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """S1 type inference over whole columns (as a CSV reader without
+    ``low_memory`` does): a STRING column whose every non-NULL value is a
+    plain number becomes DOUBLE; anything else stays STRING.
+
+    One aggregate pass computes, per column, the count of non-numeric
+    values; the result is one row per input schema (schema-sized).
+    """
+    from lendlens.functions.exprs import NUMBER_PATTERN, to_number
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
+               and (cols is None or f.name in cols)]
+    if not strings:
+        return df
+    bad = df.agg(*[F.count_if(q(c).isNotNull() & ~q(c).rlike(NUMBER_PATTERN)).alias(c)
+                   for c in strings]).first().asDict()
+    numeric = {c for c in strings if bad[c] == 0}
+    return df.select(*[to_number(q(c)).alias(c) if c in numeric else q(c) for c in df.columns])
