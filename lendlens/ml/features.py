@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StringIndexer,
+from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer,
                                 VectorAssembler, VectorSlicer)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,22 +103,20 @@ def fit_feature_pipeline(train: DataFrame, label: str = "approved",
     typed = stages[0].transform(train)
 
     num_safe = [safe_name(c) for c in numeric]
-    # per-column exact-ish medians; a column that is entirely NULL gets 0
-    present = (typed.agg(*[F.count(q(f"_f_{c}")).alias(c) for c in num_safe]).first().asDict()
+    # Exact (interpolated) medians of the training rows, one aggregate;
+    # a column that is entirely NULL gets 0. The values are baked into the
+    # pipeline, so scoring imputes with the training medians.
+    medians = (typed.agg(*[F.median(q(f"_f_{c}")).alias(c) for c in num_safe]).first().asDict()
                if num_safe else {})
-    impute = [c for c in num_safe if present.get(c, 0) > 0]
-    zero_fill = [c for c in num_safe if present.get(c, 0) == 0]
-    if zero_fill:
-        stages.append(SQLTransformer(
-            statement="SELECT *, " + ", ".join(f"0.0 AS `_z_{c}`" for c in zero_fill) + " FROM __THIS__"))
-    if impute:
-        stages.append(Imputer(strategy="median", relativeError=1e-4,
-                              inputCols=[f"_f_{c}" for c in impute],
-                              outputCols=[f"_i_{c}" for c in impute]))
+    if num_safe:
+        fills = ", ".join(
+            f"coalesce(`_f_{c}`, CAST('{float(medians[c]) if medians[c] is not None else 0.0!r}' AS DOUBLE))"
+            f" AS `_i_{c}`" for c in num_safe)
+        stages.append(SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"))
     names: list[str] = []
     vec_inputs: list[str] = []
     for c in num_safe:
-        vec_inputs.append(f"_i_{c}" if c in impute else f"_z_{c}")
+        vec_inputs.append(f"_i_{c}")
         names.append(c)
 
     cat_safe = [safe_name(c) for c in categorical]

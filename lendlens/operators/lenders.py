@@ -123,21 +123,13 @@ FAIRNESS_GROUPS = {  # short name → group value (fixed values)
 }
 
 
-def fairness_table(apps: DataFrame, registry: DataFrame | None = None,
-                   key: str = "lei", group: str = "derived_race",
+def fairness_stats(apps: DataFrame, key: str = "lei", group: str = "derived_race",
                    action: str = "action_taken",
                    groups: Mapping[str, str] = FAIRNESS_GROUPS,
                    reference: str = "white", score_group: str = "black",
-                   min_counts: Mapping[str, int] | None = None,
-                   dedup_registry: bool = False, digits: int = 4) -> DataFrame:
-    """A4: per-lender approval rate and count per group, gap of each group
-    to the reference group, fairness score, minimum-count filter, names,
-    1-based rank by fairness score.
-
-    ``min_counts`` maps short group names to a minimum count (the reference
-    uses 100 for White and Black). ``dedup_registry=False`` reproduces the
-    reference's join to an un-deduplicated registry (one row per name).
-    """
+                   min_counts: Mapping[str, int] | None = None, digits: int = 4) -> DataFrame:
+    """A2–A4 + F8: per-lender rates, counts, gaps and fairness score from ONE
+    conditional aggregate, then the minimum-count filter (HAVING)."""
     if min_counts is None:
         min_counts = {"white": codes.MIN_WHITE_BLACK, "black": codes.MIN_WHITE_BLACK}
     act = X.to_int(q(action)) if dict(apps.dtypes)[action] == "string" else q(action)
@@ -164,6 +156,27 @@ def fairness_table(apps: DataFrame, registry: DataFrame | None = None,
     lenders = lenders.filter(cond)
     for short in groups:
         lenders = lenders.withColumn(f"{short}_rate", X.round_half_even(F.col(f"{short}_rate"), digits))
+    return lenders
+
+
+def fairness_table(apps: DataFrame, registry: DataFrame | None = None,
+                   key: str = "lei", group: str = "derived_race",
+                   action: str = "action_taken",
+                   groups: Mapping[str, str] = FAIRNESS_GROUPS,
+                   reference: str = "white", score_group: str = "black",
+                   min_counts: Mapping[str, int] | None = None,
+                   dedup_registry: bool = False, digits: int = 4) -> DataFrame:
+    """A4: per-lender approval rate and count per group, gap of each group
+    to the reference group, fairness score, minimum-count filter, names,
+    1-based rank by fairness score.
+
+    ``min_counts`` maps short group names to a minimum count (the reference
+    uses 100 for White and Black). ``dedup_registry=False`` reproduces the
+    reference's join to an un-deduplicated registry (one row per name).
+    """
+    lenders = fairness_stats(apps, key, group, action, groups, reference, score_group,
+                             min_counts, digits)
+    others = [s for s in groups if s != reference]
     if registry is not None:
         reg = clean_registry(registry, extra=["Entity.LegalAddress.City", "Entity.LegalAddress.Region"])
         reg = reg.select("lei", F.col("legal_name").alias("institution_name"),
