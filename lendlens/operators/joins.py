@@ -39,10 +39,10 @@ def lookup_join(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str,
         dim = dim.withColumnRenamed(right_on, "_rkey")
         right_on = "_rkey"
         drop_right_key = True
-    if has_at_most(facts, max_broadcast_rows) and how in ("inner", "right"):
-        facts = F.broadcast(facts)
-    elif has_at_most(dim, max_broadcast_rows) and how in ("left", "inner", "left_semi", "left_anti"):
+    if how in ("left", "inner", "left_semi", "left_anti") and has_at_most(dim, max_broadcast_rows):
         dim = F.broadcast(dim)
+    elif how in ("inner", "right") and has_at_most(facts, max_broadcast_rows):
+        facts = F.broadcast(facts)
     out = facts.join(dim, facts[f"`{left_on}`"] == dim[f"`{right_on}`"], how)
     if drop_right_key and how not in ("left_semi", "left_anti"):
         out = out.drop(dim[f"`{right_on}`"])

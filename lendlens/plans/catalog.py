@@ -32,6 +32,20 @@ def _apps(spark, sf):
     return landed(spark, sf, "applications")
 
 
+def _clean(spark, sf):
+    """Silver: the cleaned pricing table, landed once for the analyses."""
+    from lendlens.sources.landing import landed_derived
+    return landed_derived(spark, sf, "clean_applications",
+                          lambda sp, d: hmda.clean_applications_from(_apps(sp, d)))
+
+
+def _denied(spark, sf):
+    """Silver: the cleaned denial table, landed once for the analyses."""
+    from lendlens.sources.landing import landed_derived
+    return landed_derived(spark, sf, "clean_denials",
+                          lambda sp, d: hmda.clean_denials_from(_apps(sp, d)))
+
+
 def _registry(spark, sf):
     return adapter.bronze(spark, sf, "registry")
 
@@ -320,9 +334,7 @@ u AS (
 
 
 def _merged(spark, sf):
-    apps = _apps(spark, sf)
-    return hmda.merge_outcomes_from(hmda.clean_applications_from(apps),
-                                    hmda.clean_denials_from(apps))
+    return hmda.merge_outcomes_from(_clean(spark, sf), _denied(spark, sf))
 
 
 @register("merge_outcomes", _merged_ctes() + "\nSELECT * FROM merged")
@@ -419,14 +431,14 @@ r AS (
 SELECT dti_bin, race_short, avg(interest_rate) AS avg_interest_rate FROM b
 WHERE dti_bin IS NOT NULL AND race_short IS NOT NULL GROUP BY 1, 2""")
 def q_rate_by_dti_race(spark, sf):
-    return hmda.rate_by_dti_race_from(q_clean_applications(spark, sf))
+    return hmda.rate_by_dti_race_from(_clean(spark, sf))
 
 
 @register("rate_by_income_race", _rate_ctes() + """
 SELECT income_bin, race_short, avg(interest_rate) AS avg_interest_rate FROM b
 WHERE income_bin IS NOT NULL AND race_short IS NOT NULL GROUP BY 1, 2""")
 def q_rate_by_income_race(spark, sf):
-    return hmda.rate_by_income_race_from(q_clean_applications(spark, sf))
+    return hmda.rate_by_income_race_from(_clean(spark, sf))
 
 
 @register("rate_by_dti_income_race", _rate_ctes() + f"""
@@ -436,7 +448,7 @@ FROM b WHERE dti_bin IN {O.lit_list(codes.MID_DTI_BINS)} AND income_bin IN {O.li
   AND race_short IS NOT NULL
 GROUP BY 1, 2""")
 def q_rate_by_dti_income_race(spark, sf):
-    return hmda.rate_by_dti_income_race_from(q_clean_applications(spark, sf))
+    return hmda.rate_by_dti_income_race_from(_clean(spark, sf))
 
 
 # ==========================================================================
@@ -463,7 +475,7 @@ metrics AS (
 
 @register("county_metrics", _county_ctes() + "\nSELECT * FROM metrics")
 def q_county_metrics(spark, sf):
-    return hmda.county_metrics_from(q_clean_applications(spark, sf))
+    return hmda.county_metrics_from(_clean(spark, sf))
 
 
 @register("county_named", _county_ctes() + f"""
@@ -679,7 +691,7 @@ SELECT src_orderkey, src_linenumber, src_partkey,
 FROM clean""")
 def q_ratio_features(spark, sf):
     from lendlens.functions import exprs as X
-    c = q_clean_applications(spark, sf)
+    c = _clean(spark, sf)
     return c.select("src_orderkey", "src_linenumber", "src_partkey",
                     X.safe_ratio("loan_amount", X.to_number("income")).alias("loan_to_income"),
                     X.safe_ratio("loan_amount", X.to_number("property_value")).alias("loan_to_value"),
@@ -721,7 +733,7 @@ top_{c.replace('-', '_')} AS (
 @register("reduce_categories", _reduce_sql())
 def q_reduce_categories(spark, sf):
     from lendlens.operators.aggs import reduce_categories
-    c = q_clean_applications(spark, sf).select("src_orderkey", "src_linenumber", "src_partkey",
+    c = _clean(spark, sf).select("src_orderkey", "src_linenumber", "src_partkey",
                                                 *[F.col(f"`{x}`") for x in _REDUCE_COLS])
     return reduce_categories(c, _REDUCE_COLS, top_n=10, max_distinct=20)
 

@@ -36,9 +36,15 @@ def _fingerprint(sf_dir: str, deps) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+_KNOWN: set[str] = set()   # landed paths already seen in this process
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
+    if path in _KNOWN:
+        return True
     try:
         spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
+        _KNOWN.add(path)
         return True
     except AnalysisException:
         return False
@@ -65,3 +71,20 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             w = w.partitionBy(*parts)
         w.parquet(path)
     return spark.read.parquet(path)
+
+
+def landed_derived(spark: SparkSession, sf_dir: str, name: str, build,
+                   deps=("lineitem", "orders", "customer"),
+                   partition_by=None) -> DataFrame:
+    """A derived (silver) table of ``sf_dir`` — e.g. the cleaned applications —
+    written once by ``build(spark, sf_dir)`` and read back by later analyses,
+    as the reference's cleaning scripts hand their CSV to the analyses."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    root = base.rsplit("/", 1)[0] if "/" in base else base
+    path = f"{root}/lendlens-silver/{_fingerprint(sf_dir, deps)}/{name}"
+    if not _exists(spark, path):
+        w = build(spark, sf_dir).write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+    return spark.read.parquet(path)
