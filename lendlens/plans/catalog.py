@@ -32,18 +32,18 @@ def _apps(spark, sf):
     return landed(spark, sf, "applications")
 
 
-def _clean(spark, sf):
+def _clean(spark, sf, force: bool = False):
     """Silver: the cleaned pricing table, landed once for the analyses."""
     from lendlens.sources.landing import landed_derived
     return landed_derived(spark, sf, "clean_applications",
-                          lambda sp, d: hmda.clean_applications_from(_apps(sp, d)))
+                          lambda sp, d: hmda.clean_applications_from(_apps(sp, d)), force=force)
 
 
-def _denied(spark, sf):
+def _denied(spark, sf, force: bool = False):
     """Silver: the cleaned denial table, landed once for the analyses."""
     from lendlens.sources.landing import landed_derived
     return landed_derived(spark, sf, "clean_denials",
-                          lambda sp, d: hmda.clean_denials_from(_apps(sp, d)))
+                          lambda sp, d: hmda.clean_denials_from(_apps(sp, d)), force=force)
 
 
 def _registry(spark, sf):
