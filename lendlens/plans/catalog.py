@@ -805,3 +805,29 @@ def q_group_gap_report(spark, sf):
     model = trained(spark, sf, "rf")[0]
     grid = race_grid(_model(spark, sf).drop("approved"), with_tiers=True)
     return group_gap_report(model.score(grid), "derived_race", "p_approve", "White", "scenario")
+
+
+# ==========================================================================
+# S4 incremental landing (Structured Streaming, rows + oracle on values)
+# ==========================================================================
+@register("land_incremental", f"""{O.with_tables('applications')}
+SELECT {", ".join(f"CAST({O.qi(c)} AS VARCHAR) AS {O.qi(c)}" for c in O.APP_COLUMNS)}
+FROM applications""")
+def q_land_incremental(spark, sf):
+    """Deliver the early years, land; deliver the rest, land again (only the
+    new files are read); a third run finds nothing new. Returns the landed
+    table (all columns as delivered text)."""
+    from lendlens.streaming.landing import incremental_demo_paths, land_incremental, stage_yearly_csv
+    apps = _apps(spark, sf)
+    cols = [c for c in apps.columns]
+    apps = apps.select(*[F.col(f"`{c}`") for c in cols])
+    p = incremental_demo_paths(spark)
+    stage_yearly_csv(apps, p["raw"], years=[2019, 2020, 2021])
+    first = land_incremental(spark, p["raw"], p["target"], p["checkpoint"], cols)
+    stage_yearly_csv(apps.filter(~F.col("activity_year").isin(2019, 2020, 2021)), p["raw"])
+    second = land_incremental(spark, p["raw"], p["target"], p["checkpoint"], cols)
+    third = land_incremental(spark, p["raw"], p["target"], p["checkpoint"], cols)
+    if third != 0 or first <= 0:
+        raise RuntimeError(f"incremental landing re-read files: {first}, {second}, {third}")
+    landed = spark.read.parquet(p["target"])
+    return landed.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in O.APP_COLUMNS])
