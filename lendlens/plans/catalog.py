@@ -831,3 +831,10 @@ def q_land_incremental(spark, sf):
         raise RuntimeError(f"incremental landing re-read files: {first}, {second}, {third}")
     landed = spark.read.parquet(p["target"])
     return landed.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in O.APP_COLUMNS])
+
+
+@register("sample_applications")
+def q_sample_applications(spark, sf):
+    """R1 with the reference's cap of 1,000,000 rows (rows-only check)."""
+    from lendlens.operators.sampling import sample_at_most
+    return sample_at_most(_apps(spark, sf), 1_000_000, seed=42)
