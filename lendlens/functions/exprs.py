@@ -130,6 +130,15 @@ def bin_dti(c: ColumnOrName, keep_30_36: bool = False) -> Column:
     return out
 
 
+def dti_binnable(c: ColumnOrName, keep_30_36: bool = False) -> Column:
+    """Exactly when ``bin_dti`` is non-NULL, as a cheap predicate (no numeric
+    comparisons): a kept label or a plain number. Filtering on this instead of
+    on the bin keeps the bin expression out of the pushed-down filter."""
+    s = _c(c).cast("string")
+    keep = DTI_KEEP_BINS + (["30%-<36%"] if keep_30_36 else [])
+    return F.coalesce(s.isin(keep) | s.rlike(NUMBER_PATTERN), F.lit(False))
+
+
 def ordinal(c: ColumnOrName, order: Sequence[str]) -> Column:
     """Position of the value in ``order`` (0-based); absent/NULL → NULL."""
     pos = F.array_position(F.array(*[F.lit(v) for v in order]), _c(c))

@@ -41,8 +41,14 @@ def lookup_join(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str,
         drop_right_key = True
     if how in ("left", "inner", "left_semi", "left_anti") and has_at_most(dim, max_broadcast_rows):
         dim = F.broadcast(dim)
-    elif how in ("inner", "right") and has_at_most(facts, max_broadcast_rows):
-        facts = F.broadcast(facts)
+    elif has_at_most(facts, max_broadcast_rows):
+        # a large dimension (a national registry) against a small fact table:
+        # keep only dimension rows whose key occurs in the facts (broadcast of
+        # the small key set), so the big side is filtered map-side, not shuffled
+        keys = facts.select(F.col(f"`{left_on}`").alias("_k")).distinct()
+        dim = dim.join(F.broadcast(keys), dim[f"`{right_on}`"] == F.col("_k"), "left_semi")
+        if how in ("inner", "right"):
+            facts = F.broadcast(facts)
     out = facts.join(dim, facts[f"`{left_on}`"] == dim[f"`{right_on}`"], how)
     if drop_right_key and how not in ("left_semi", "left_anti"):
         out = out.drop(dim[f"`{right_on}`"])

@@ -49,8 +49,8 @@ def clean_applications_from(apps: DataFrame, keep_30_36: bool = False,
     if drop_age_placeholder:   # the evident intent; the reference's test is a no-op (T3)
         df = FL.exclude_ne(df, "applicant_age", str(codes.AGE_PLACEHOLDER))
     df = FL.exclude(df, "debt_to_income_ratio", codes.DTI_DROP_TOKENS)
+    df = df.filter(X.dti_binnable("debt_to_income_ratio", keep_30_36))
     df = df.withColumn("debt_to_income_ratio", X.bin_dti("debt_to_income_ratio", keep_30_36))
-    df = df.filter(F.col("debt_to_income_ratio").isNotNull())
     df = FL.exclude_ne(df, "conforming_loan_limit", codes.CONFORMING_PLACEHOLDER)
     return FL.require_non_null(df, codes.PRICING_REQUIRED)
 
@@ -78,8 +78,8 @@ def clean_denials_from(apps: DataFrame, keep_30_36: bool = False,
     if drop_age_placeholder:
         df = FL.exclude_ne(df, "applicant_age", str(codes.AGE_PLACEHOLDER))
     df = FL.exclude(df, "debt_to_income_ratio", codes.DTI_DROP_TOKENS)
+    df = df.filter(X.dti_binnable("debt_to_income_ratio", keep_30_36))
     df = df.withColumn("debt_to_income_ratio", X.bin_dti("debt_to_income_ratio", keep_30_36))
-    df = df.filter(F.col("debt_to_income_ratio").isNotNull())
     df = FL.exclude_ne(df, "conforming_loan_limit", codes.CONFORMING_PLACEHOLDER)
     for c in codes.DENIAL_REASON_COLUMNS:
         if c in df.columns:
