@@ -528,8 +528,12 @@ def q_postal_areas(spark, sf):
 # ==========================================================================
 # ML support queries with oracles (over the Q4 model table)
 # ==========================================================================
-def _model(spark, sf):
-    return hmda.model_table_from(_apps(spark, sf))
+def _model(spark, sf, force: bool = False):
+    """Silver: the labelled model table (approved + denied, features filled),
+    landed once like the reference's combined feature file."""
+    from lendlens.sources.landing import landed_derived
+    return landed_derived(spark, sf, "model_table",
+                          lambda sp, d: hmda.model_table_from(_apps(sp, d)), force=force)
 
 
 _NUMERIC_FEATURES = [c for c in codes.MODEL_FEATURES
