@@ -36,7 +36,6 @@ def read_csv_table(spark: SparkSession, path: str | Sequence[str],
     names = list(header) if header is not None else _header(spark, paths[0])
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     df = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-          .option("nullValue", None).option("emptyValue", "")
           .schema(schema).csv(paths))
     if columns is not None:
         if callable(columns):
