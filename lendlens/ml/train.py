@@ -49,8 +49,26 @@ class TrainedModel:
         return score(self, df, prob_col)
 
     def save(self, path: str) -> None:
-        """The fitted pipeline carries encoder, medians and feature order."""
-        self.pipeline.write().overwrite().save(path)
+        """The fitted pipeline (encoder, training medians, feature order,
+        classifier) plus a one-row metadata table (kind, threshold, names,
+        input types, metrics), both written through Spark."""
+        import json
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.getActiveSession()
+        meta = {"kind": self.kind, "threshold": self.threshold,
+                "feature_names": json.dumps(self.feature_names),
+                "input_types": json.dumps(self.input_types),
+                "metrics": json.dumps(self.metrics)}
+        spark.createDataFrame([meta]).write.mode("overwrite").json(f"{path}/meta")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "TrainedModel":
+        """Read a model written by ``save``."""
+        import json
+        m = spark.read.json(f"{path}/meta").first()
+        return TrainedModel(m["kind"], PipelineModel.load(f"{path}/pipeline"),
+                            json.loads(m["feature_names"]), float(m["threshold"]),
+                            json.loads(m["metrics"]), json.loads(m["input_types"]))
 
 
 def _classifier(kind: str, seed: int, num_trees: int, max_depth: int):

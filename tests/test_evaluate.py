@@ -51,3 +51,31 @@ def test_split_disjoint_and_stable(spark):
     assert te.exceptAll(te2).count() == 0
     share = te.filter("y = 1").count() / 1000
     assert 0.15 < share < 0.25
+
+
+def test_model_roundtrip_and_reference_profiles(spark):
+    import tempfile
+
+    from lendlens.ml.counterfactual import bias_gap, group_gap_report, reference_profiles
+    from lendlens.ml.train import TrainedModel, train_approval_model
+    from lendlens.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    table = catalog._model(spark, SF_SMALL)
+    model, scored = train_approval_model(table, "rf", num_trees=5, max_depth=4)
+    fair, _ = train_approval_model(table, "fair", num_trees=5, max_depth=4)
+    assert 0.0 <= model.metrics["roc_auc"] <= 1.0 and scored.count() > 0
+    path = tempfile.mkdtemp(prefix="ll-model-")
+    model.save(path)
+    again = TrainedModel.load(spark, path)
+    assert again.feature_names == model.feature_names and again.threshold == model.threshold
+    profiles = reference_profiles(spark)
+    assert profiles.count() == 16
+    a = {r["scenario"]: r["p_approve"] for r in model.score(profiles).filter("derived_race = 'White'").collect()}
+    b = {r["scenario"]: r["p_approve"] for r in again.score(profiles).filter("derived_race = 'White'").collect()}
+    assert a == b
+    gaps = bias_gap(profiles, model, fair)
+    assert gaps.filter("gap_label IS NULL").count() == 0
+    rep = group_gap_report(model.score(profiles.filter("scenario LIKE 'Fairness%'")),
+                           "derived_race", "p_approve", "White", "scenario").collect()
+    assert len(rep) == 12 and all(r["gap_vs_reference"] == 0.0 for r in rep if r["derived_race"] == "White")
