@@ -183,9 +183,12 @@ def fairness_table(apps: DataFrame, registry: DataFrame | None = None,
                          q("Entity.LegalAddress.City").alias("city"),
                          q("Entity.LegalAddress.Region").alias("state"))
         if dedup_registry:
-            reg = reg.groupBy("lei").agg(F.min_by(F.struct("institution_name", "city", "state"),
-                                                  F.col("institution_name")).alias("_r")) \
-                     .select("lei", "_r.*")
+            # one row per key: the first name in sort order (NULL names last),
+            # then city and state — a total order, so the pick is deterministic
+            first = F.min(F.struct(F.col("institution_name").isNull().alias("_nl"),
+                                   "institution_name", "city", "state"))
+            reg = reg.groupBy("lei").agg(first.alias("_r")).select(
+                "lei", "_r.institution_name", "_r.city", "_r.state")
         lenders = joins.lookup_join(lenders, reg, "lei", "lei", "left")
     else:
         lenders = (lenders.withColumn("institution_name", F.lit(None).cast("string"))

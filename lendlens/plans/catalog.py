@@ -88,6 +88,7 @@ f AS (
               THEN NULL ELSE trim("Entity.LegalName", ' \t\r\n') END AS institution_name,
          "Entity.LegalAddress.City" AS city, "Entity.LegalAddress.Region" AS state
   FROM registry
+  WHERE {O.norm_key('"LEI"')} IS NOT NULL AND {O.norm_key('"LEI"')} NOT IN ('', 'NAN')
 ), j AS (
   SELECT g.lei, r.institution_name, r.city, r.state, g.total_loans,
          {O.rnd('white_rate', 4)} AS white_rate, {O.rnd('black_rate', 4)} AS black_rate,
@@ -103,6 +104,23 @@ FROM j
 """
 
 
+def _fairness_dedup_sql(min_count: int) -> str:
+    base = _fairness_sql(min_count)
+    return base.replace("""), j AS (""", """), rd AS (
+  SELECT lei, institution_name, city, state FROM (
+    SELECT *, row_number() OVER (PARTITION BY lei ORDER BY institution_name IS NULL,
+             institution_name, city, state) AS k FROM r0) WHERE k = 1
+), j AS (""").replace("), r AS (\n  SELECT", "), r0 AS (\n  SELECT").replace(
+        "FROM g LEFT JOIN r ON g.lei = r.lei", "FROM g LEFT JOIN rd r ON g.lei = r.lei")
+
+
+@register("lender_fairness_dedup", _fairness_dedup_sql(FIXTURE_MIN_COUNT))
+def q_lender_fairness_dedup(spark, sf):
+    """Q7 with the registry deduplicated first (one row per lender)."""
+    return hmda.lender_fairness_from(_apps(spark, sf), _registry(spark, sf),
+                                     min_white_black=FIXTURE_MIN_COUNT, dedup_registry=True)
+
+
 @register("lender_fairness", _fairness_sql(FIXTURE_MIN_COUNT))
 def q_lender_fairness(spark, sf):
     return hmda.lender_fairness_from(_apps(spark, sf), _registry(spark, sf),
