@@ -33,3 +33,24 @@ def test_fairness_one_hash_aggregate_and_pruned_scan(spark):
     assert any("ReadSchema: struct<lei:string,action_taken:int,derived_race:string>" in ln
                or "ReadSchema: struct<lei:string,derived_race:string,action_taken:int>" in ln
                for ln in scan), scan
+
+
+def test_hot_lender_is_combined_map_side(spark):
+    """A lender with a third of all rows: same answer as a per-lender
+    recount, and the plan aggregates partially before its single shuffle."""
+    from pyspark.sql import functions as F
+
+    from lendlens.operators import lenders
+    n = 30000
+    base = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("L"), (F.col("id") % 97).cast("string"))).alias("lei"),
+        F.when(F.col("id") % 2 == 0, F.lit("White")).otherwise(F.lit("Black or African American")).alias("derived_race"),
+        F.when(F.col("id") % 5 == 0, F.lit(3)).otherwise(F.lit(1)).alias("action_taken"))
+    stats = lenders.fairness_stats(base, min_counts={"white": 1, "black": 1})
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan and plan.count("Exchange hashpartitioning") == 1
+    hot = stats.filter("lei = 'HOT'").first()
+    assert hot["total_loans"] == n // 3
+    exp = base.filter("lei = 'HOT' AND derived_race = 'White'").agg(
+        F.avg((F.col("action_taken") == 1).cast("int"))).first()[0]
+    assert hot["white_rate"] == round(exp, 4)
