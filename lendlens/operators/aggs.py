@@ -111,6 +111,22 @@ def class_balance(df: DataFrame, label: str, digits: int | None = None) -> DataF
     return out
 
 
+def table_summary(df: DataFrame, flag: str | None = None) -> DataFrame:
+    """Row count, column count and (optionally) the mean of a 0/1 flag
+    (the approval rate) in one global aggregate; partial counts and sums are
+    combined map-side, so only one row per task reaches the final task."""
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns")]
+    if flag is not None:
+        aggs.append(F.avg(q(flag).cast("double")).alias(f"{flag}_rate"))
+    return df.agg(*aggs)
+
+
+def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct value combinations of ``cols`` (NULL is a value, as in
+    pandas ``unique``); a hash aggregate with map-side dedup."""
+    return df.select(*[q(c).alias(c) for c in cols]).distinct()
+
+
 def null_profile(df: DataFrame, top: int | None = 10) -> DataFrame:
     """Missing values per column in ONE aggregate, unpivoted; the
     ``top`` columns with most missing values (ties by name)."""

@@ -422,6 +422,25 @@ def q_labelled_union(spark, sf):
     return hmda.model_table_from(_apps(spark, sf))
 
 
+
+@register("model_table_summary", _model_features_sql() + f"""
+SELECT count(*) AS n_rows, CAST({len(codes.MODEL_FEATURES) + 1} AS INTEGER) AS n_columns,
+       avg(CAST(approved AS DOUBLE)) AS approved_rate
+FROM model""")
+def q_model_table_summary(spark, sf):
+    """Rows, columns and approval rate of the combined model table."""
+    from lendlens.operators import aggs
+    return aggs.table_summary(_model(spark, sf), "approved")
+
+
+@register("dti_values", f"""{O.with_tables('applications')},
+{O.clean_apps_ctes()}
+SELECT DISTINCT debt_to_income_ratio FROM clean""")
+def q_dti_values(spark, sf):
+    """Distinct re-binned DTI values left in the cleaned pricing table."""
+    from lendlens.operators import aggs
+    return aggs.distinct_values(_clean(spark, sf), ["debt_to_income_ratio"])
+
 # ==========================================================================
 # Q9 rate by race, controlled
 # ==========================================================================
@@ -469,6 +488,18 @@ def q_rate_by_dti_income_race(spark, sf):
     return hmda.rate_by_dti_income_race_from(_clean(spark, sf))
 
 
+@register("combined_bin_labels", _rate_ctes() + f"""
+SELECT DISTINCT income_bin || ' / DTI ' || dti_bin AS combined_bin FROM b
+WHERE dti_bin IN {O.lit_list(codes.MID_DTI_BINS)} AND income_bin IN {O.lit_list(codes.MID_INCOME_BINS)}""")
+def q_combined_bin_labels(spark, sf):
+    """The distinct combined income / DTI labels of the double-controlled view."""
+    from lendlens.operators import aggs
+    df = hmda.rate_inputs_from(_clean(spark, sf))
+    df = df.filter(F.col("dti_bin").isin(codes.MID_DTI_BINS)
+                   & F.col("income_bin").isin(codes.MID_INCOME_BINS))
+    df = df.withColumn("combined_bin", F.concat("income_bin", F.lit(" / DTI "), "dti_bin"))
+    return aggs.distinct_values(df, ["combined_bin"])
+
 # ==========================================================================
 # Q10 county and postal summaries
 # ==========================================================================

@@ -95,3 +95,11 @@ def test_one_hot_drop_first_and_unseen(spark):
     vecs = [r["features"].toArray().tolist() for r in model.transform(test).collect()]
     # b→1, a→0 (dropped first), NULL→0, unseen→0; NULL x → training median 1.5
     assert vecs == [[5.0, 1.0], [5.0, 0.0], [1.5, 0.0], [1.0, 0.0]]
+
+
+def test_table_summary_and_distinct_values(spark):
+    df = spark.createDataFrame([(1, "a"), (0, "a"), (1, None), (1, "b")], "approved int, k string")
+    s = aggs.table_summary(df, "approved").collect()[0]
+    assert (s["n_rows"], s["n_columns"], s["approved_rate"]) == (4, 2, 0.75)
+    got = {r["k"] for r in aggs.distinct_values(df, ["k"]).collect()}
+    assert got == {"a", "b", None}
