@@ -1,8 +1,9 @@
 """Joins with dimension tables (J1–J7) and dimension dedup.
 
-Broadcast is used only behind a size check: ``maybe_broadcast`` counts at most
-``max_rows + 1`` rows of the candidate side (a bounded, early-stopping job);
-above the bound the plain DataFrame is returned and Spark/AQE choose a shuffle
+Broadcast is used only behind a size check: ``can_broadcast`` counts at most
+``bound + 1`` rows of the candidate side (a bounded, early-stopping job), the
+bound being the smaller of a row cap and a byte cap over the schema's row
+size; above it the plain DataFrame is returned and Spark/AQE choose a shuffle
 join from runtime statistics.
 """
 
@@ -12,9 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# rows of a dimension that may be broadcast (≈ tens of MB for narrow tables)
+# Broadcast ceilings: at most this many rows AND about this many bytes
+# (estimated from the schema's per-column sizes), whichever is smaller. A
+# broadcast table is copied to every executor, so the byte bound is what keeps
+# it cheap on a 1000-executor cluster.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -22,9 +28,42 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def _type_bytes(dt: T.DataType) -> int:
+    if isinstance(dt, T.StructType):
+        return sum(_type_bytes(f.dataType) for f in dt.fields)
+    if isinstance(dt, (T.ArrayType, T.MapType)):
+        return 100
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    if isinstance(dt, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    return 8
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Schema-based estimate of one row's size (Spark's default sizes per type:
+    20 bytes per string, 8 per long/double, ...) plus a row header."""
+    return 16 + sum(_type_bytes(f.dataType) for f in df.schema.fields)
+
+
+def broadcast_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> int:
+    """Largest row count of ``df`` that may be broadcast."""
+    return max(1, min(max_rows, BROADCAST_MAX_BYTES // row_bytes(df)))
+
+
+def can_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    return has_at_most(df, broadcast_bound(df, max_rows))
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven ≤ ``max_rows``."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    """Broadcast hint only when the size is proven within the bound."""
+    return F.broadcast(df) if can_broadcast(df, max_rows) else df
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str,
@@ -32,26 +71,39 @@ def lookup_join(facts: DataFrame, dim: DataFrame, left_on: str, right_on: str,
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Equi join a (usually aggregated) fact table to a dimension.
 
-    The smaller side is chosen for a checked broadcast: the facts when they
-    are aggregated and small (a lender summary), else the dimension.
+    * dimension proven small: broadcast it;
+    * else facts proven small (a lender summary against a national registry):
+      the dimension is semi-filtered map-side by the broadcast fact keys, then
+      streamed against the broadcast facts. A dimension key holding a third of
+      all rows is thus spread over the dimension's input splits instead of
+      landing in one shuffle task. For a left join the facts without any match
+      are added back from an anti join against the dimension's DISTINCT keys
+      (deduplicated map-side, so a hot key is one row per task);
+    * else both are large: a shuffle join chosen by Spark/AQE (skew-join split).
     """
     if left_on == right_on:
         dim = dim.withColumnRenamed(right_on, "_rkey")
         right_on = "_rkey"
         drop_right_key = True
-    if how in ("left", "inner", "left_semi", "left_anti") and has_at_most(dim, max_broadcast_rows):
+    lk, rk = f"`{left_on}`", f"`{right_on}`"
+    if how in ("left", "inner", "left_semi", "left_anti") and can_broadcast(dim, max_broadcast_rows):
         dim = F.broadcast(dim)
-    elif has_at_most(facts, max_broadcast_rows):
-        # a large dimension (a national registry) against a small fact table:
-        # keep only dimension rows whose key occurs in the facts (broadcast of
-        # the small key set), so the big side is filtered map-side, not shuffled
-        keys = facts.select(F.col(f"`{left_on}`").alias("_k")).distinct()
-        dim = dim.join(F.broadcast(keys), dim[f"`{right_on}`"] == F.col("_k"), "left_semi")
-        if how in ("inner", "right"):
-            facts = F.broadcast(facts)
-    out = facts.join(dim, facts[f"`{left_on}`"] == dim[f"`{right_on}`"], how)
+    elif how in ("left", "inner") and can_broadcast(facts, max_broadcast_rows):
+        small = F.broadcast(facts.alias("_f"))
+        keys = F.broadcast(facts.select(F.col(lk).alias("_k")).distinct())
+        dim = dim.join(keys, dim[rk] == F.col("_k"), "left_semi").alias("_d")
+        # same columns, same order as facts.join(dim): facts first
+        cols = [F.col(f"_f.`{c}`") for c in facts.columns] + [
+            F.col(f"_d.`{c}`") for c in dim.columns if not (drop_right_key and c == right_on)]
+        matched = dim.join(small, F.col(f"_f.{lk}") == F.col(f"_d.{rk}"), "inner").select(*cols)
+        if how == "inner":
+            return matched
+        dim_keys = dim.select(F.col(rk).alias("_k")).distinct()
+        unmatched = facts.join(dim_keys, facts[lk] == F.col("_k"), "left_anti")
+        return matched.unionByName(unmatched, allowMissingColumns=True)
+    out = facts.join(dim, facts[lk] == dim[rk], how)
     if drop_right_key and how not in ("left_semi", "left_anti"):
-        out = out.drop(dim[f"`{right_on}`"])
+        out = out.drop(dim[rk])
     return out
 
 
