@@ -331,6 +331,19 @@ def q_clean_denials(spark, sf):
     return hmda.clean_denials_from(_apps(spark, sf))
 
 
+
+@register("denial_reason_labels", f"""{O.with_tables('applications')},
+{O.clean_denials_ctes()}
+SELECT lei, activity_year,
+       {", ".join(O.qi(c) + ", " + O.qi(c + "_label") for c in codes.DENIAL_REASON_COLUMNS)}
+FROM denied""")
+def q_denial_reason_labels(spark, sf):
+    """The four denial-reason codes and their labels (missing code or a
+    code outside the list → NULL label) on the cleaned denial table."""
+    cols = ["lei", "activity_year"] + [x for c in codes.DENIAL_REASON_COLUMNS
+                                       for x in (c, c + "_label")]
+    return _denied(spark, sf).select(*[F.col(f"`{c}`") for c in cols])
+
 _CONFLICTED = ["interest_rate", "income", "property_value"] + codes.DENIAL_REASON_COLUMNS
 
 
