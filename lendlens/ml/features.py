@@ -103,11 +103,16 @@ def fit_feature_pipeline(train: DataFrame, label: str = "approved",
     typed = stages[0].transform(train)
 
     num_safe = [safe_name(c) for c in numeric]
-    # Exact (interpolated) medians of the training rows, one aggregate;
-    # a column that is entirely NULL gets 0. The values are baked into the
-    # pipeline, so scoring imputes with the training medians.
-    medians = (typed.agg(*[F.median(q(f"_f_{c}")).alias(c) for c in num_safe]).first().asDict()
-               if num_safe else {})
+    # Exact (interpolated) medians of the training rows, computed
+    # distributed (no single-task value map); a column that is entirely NULL
+    # gets 0. The values are baked into the pipeline, so scoring imputes with
+    # the training medians.
+    if num_safe:
+        from lendlens.operators.aggs import column_medians
+        med = column_medians(typed.select(*[q(f"_f_{c}").alias(c) for c in num_safe]), num_safe)
+        medians = med.first().asDict()
+    else:
+        medians = {}
     if num_safe:
         fills = ", ".join(
             f"coalesce(`_f_{c}`, CAST('{float(medians[c]) if medians[c] is not None else 0.0!r}' AS DOUBLE))"

@@ -198,6 +198,39 @@ def reduce_categories(df: DataFrame, cols: Sequence[str], top_n: int = 10,
     return out
 
 
-def column_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact median per numeric column, one aggregate, one row."""
-    return df.agg(*[F.median(q(c)).alias(c) for c in cols])
+def column_medians(df: DataFrame, cols: Sequence[str],
+                   num_partitions: int | None = None) -> DataFrame:
+    """Exact (interpolated) median per numeric column, one row.
+
+    ``median`` would keep a map of every distinct value and merge all maps in
+    ONE final task, unbounded for continuous columns. Here the work stays
+    distributed: (column, value) counts are combined map-side, a running sum
+    in (column, value) order (two-level, range-partitioned) gives each value
+    its rank interval, and only the one or two values holding the middle
+    ranks of each column survive the filter. NULLs are skipped; a column
+    without values gets NULL; even counts interpolate ``a + (b - a) / 2``.
+    """
+    from lendlens.operators.window import global_running_sum
+    cols = list(cols)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), q(c).cast("double").alias("_v"))
+                                for i, c in enumerate(cols)]))
+    long = df.select(pairs.alias("_p")).select("_p._c", "_p._v").filter(F.col("_v").isNotNull())
+    counts = long.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    cum = global_running_sum(counts, [F.col("_c"), F.col("_v")], ["_n"], prefix="_cum",
+                             num_partitions=num_partitions)
+    # per-column totals and start offsets: one row per column
+    totals = cum.groupBy("_c").agg(F.sum("_n").alias("_tot"))
+    before = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("_start", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
+    hi = F.col("_cum_n") - F.col("_start")          # values of this column with rank < hi
+    lo = hi - F.col("_n")                           # 0-based ranks [lo, hi) hold this value
+    k1 = F.expr("(_tot - 1) div 2")
+    k2 = F.expr("_tot div 2")
+    at1 = (lo <= k1) & (k1 < hi)
+    at2 = (lo <= k2) & (k2 < hi)
+    mid = (cum.join(F.broadcast(totals), "_c").filter(at1 | at2)
+           .groupBy("_c").agg(F.max(F.when(at1, F.col("_v"))).alias("_a"),
+                              F.max(F.when(at2, F.col("_v"))).alias("_b")))
+    mid = mid.select("_c", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.lit(0.5)).alias("_m"))
+    return mid.agg(*[F.max(F.when(F.col("_c") == i, F.col("_m"))).alias(c)
+                     for i, c in enumerate(cols)])
