@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# keys are hash values modulo 2^53, scaled to [0, 1) exactly in a double
+_SPAN = 2 ** 53
+
 
 def sample_at_most(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
-    """Seeded Bernoulli sample of about ``max_rows`` rows (all rows when
-    the table is smaller). The size holds in expectation; no global sort or
-    limit funnels rows through one task."""
+    """A seeded sample of exactly ``min(count, max_rows)`` rows.
+
+    Every row gets a uniform key from a seeded hash of its content (stable
+    under recomputation after an executor loss). A prefilter keeps the keys
+    below ``(max_rows + 6·sqrt(max_rows)) / count`` — more than ``max_rows``
+    rows except with negligible probability, re-run without the prefilter if
+    not — and the ``max_rows`` smallest keys are taken with the distributed
+    global row number (range partitions, no single-task sort or limit).
+    Identical rows share a key, and any of them is the same row.
+    """
+    from lendlens.operators.window import global_row_number
+    from lendlens.session import materialize
     n = df.count()
     if n <= max_rows:
         return df
-    return df.sample(withReplacement=False, fraction=max_rows / n, seed=seed)
+    cols = df.columns
+    key = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols]),
+                 F.lit(_SPAN)).cast("double") / F.lit(float(_SPAN))
+    keyed = df.withColumn("_u", key)
+    frac = min(1.0, (max_rows + 6 * math.sqrt(max_rows)) / n)
+    kept = materialize(keyed.filter(F.col("_u") < F.lit(frac)), "sample-candidates")
+    if kept.count() < max_rows:
+        kept = materialize(keyed, "sample-candidates")
+    ranked = global_row_number(kept, [F.col("_u")], name="_r")
+    return ranked.filter(F.col("_r") <= max_rows).select(*[F.col(f"`{c}`") for c in cols])
 
 
 def shuffled(df: DataFrame, seed: int = 42) -> DataFrame:

@@ -134,3 +134,13 @@ def test_column_medians_match_exact_median(spark):
             assert got["c"] is None and want["c"] is None
             for c in "abd":
                 assert abs(got[c] - want[c]) < 1e-12, (c, parts, got[c], want[c])
+
+
+def test_sample_at_most_exact_count_and_stable(spark):
+    from lendlens.operators.sampling import sample_at_most
+    df = spark.range(5000).selectExpr("id", "id % 7 AS g")
+    a = sample_at_most(df, 1234, seed=3)
+    b = sample_at_most(df.repartition(5), 1234, seed=3)
+    ra, rb = sorted(a.collect()), sorted(b.collect())
+    assert len(ra) == 1234 and ra == rb
+    assert sample_at_most(df, 10_000).count() == 5000
