@@ -159,11 +159,10 @@ def top_values(df: DataFrame, col: str, top_n: int) -> DataFrame:
 def high_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int) -> list[str]:
     """Columns with more than ``max_distinct`` distinct non-NULL values.
 
-    Exact, without an exact distinct count of wide columns: a HyperLogLog
-    screen (relative error 1%) settles every column far from the threshold;
-    the rest are counted exactly with ``collect_set``, whose state is bounded
-    because the screen says they are small. One schema-sized row comes back
-    per pass.
+    Exact: a HyperLogLog screen (relative error 1%) settles every column far
+    from the threshold; the rest are counted exactly in one distributed pass
+    (distinct (column, value) pairs, deduplicated map-side, then counted per
+    column). One schema-sized result comes back per pass.
     """
     cols = list(cols)
     if not cols:
@@ -172,8 +171,13 @@ def high_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int) -> l
     high = [c for c in cols if approx[c] > 2 * max_distinct + 10]
     unsure = [c for c in cols if c not in high and approx[c] > max_distinct // 2]
     if unsure:
-        exact = df.agg(*[F.size(F.collect_set(q(c))).alias(c) for c in unsure]).first().asDict()
-        high += [c for c in unsure if exact[c] > max_distinct]
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), q(c).cast("string").alias("_v"))
+                                    for i, c in enumerate(unsure)]))
+        exact = {r["_c"]: r["n"] for r in
+                 df.select(pairs.alias("_p")).select("_p._c", "_p._v")
+                 .filter(F.col("_v").isNotNull()).distinct()
+                 .groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+        high += [c for i, c in enumerate(unsure) if exact.get(i, 0) > max_distinct]
     return [c for c in cols if c in high]
 
 

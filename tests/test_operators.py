@@ -144,3 +144,11 @@ def test_sample_at_most_exact_count_and_stable(spark):
     ra, rb = sorted(a.collect()), sorted(b.collect())
     assert len(ra) == 1234 and ra == rb
     assert sample_at_most(df, 10_000).count() == 5000
+
+
+def test_high_cardinality_exact_near_threshold(spark):
+    """Columns right at the threshold are settled exactly (HLL cannot tell
+    20 from 21 distinct values)."""
+    rows = [(i % 5, i % 20, i % 21, str(i % 100), None) for i in range(2100)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d string, e string")
+    assert aggs.high_cardinality(df, list("abcde"), max_distinct=20) == ["c", "d"]
