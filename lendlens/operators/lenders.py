@@ -112,6 +112,26 @@ def unmatched_lenders(summary: DataFrame) -> DataFrame:
     return summary.filter(~F.col("name_found"))
 
 
+def lender_rankings(apps: DataFrame, registry: DataFrame | None,
+                    min_apps: int = codes.MIN_APPS) -> dict[str, DataFrame]:
+    """Q6 + S10: the eleven ranking outputs from ONE lender summary.
+
+    The summary (one row per lender) is written once to the shared folder, so
+    the other ten tables read that copy instead of aggregating the
+    applications again, and a lost executor recomputes nothing upstream.
+    """
+    from lendlens.session import materialize
+    summary = materialize(approval_summary(apps, registry, min_apps=min_apps), "lender-summary")
+    tables = {"lender_summary": summary,
+              "named_summary": summary.filter(q("legal_name") != codes.UNKNOWN_NAME)}
+    for by in LEAGUE_ORDERS:
+        tables[f"top_by_{by}"] = league_table(summary, by)
+    for by in LEAGUE_ORDERS:
+        tables[f"named_top_by_{by}"] = league_table(summary, by, named_only=True)
+    tables["unmatched_lenders"] = unmatched_lenders(summary)
+    return tables
+
+
 # --------------------------------------------------------------------------
 # fairness table
 # --------------------------------------------------------------------------

@@ -225,6 +225,41 @@ for _by in ("approvals", "denials", "approval_rate", "denial_rate"):
         register(("named_" if _named else "") + f"top_by_{_by}", _sql)(_fn)
 
 
+_RANKING_TABLES = (["lender_summary", "named_summary"]
+                   + [f"top_by_{b}" for b in ("approvals", "denials", "approval_rate", "denial_rate")]
+                   + [f"named_top_by_{b}" for b in ("approvals", "denials", "approval_rate", "denial_rate")]
+                   + ["unmatched_lenders"])
+
+
+def _rankings_export_sql() -> str:
+    where = {"named_summary": f"WHERE legal_name <> '{codes.UNKNOWN_NAME}'",
+             "unmatched_lenders": "WHERE NOT name_found"}
+    parts = [f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(sum(total_apps) AS BIGINT) AS total_apps "
+             f"FROM summary {where.get(t, where['named_summary'] if t.startswith('named_') else '')}"
+             for t in _RANKING_TABLES]
+    return _summary_sql() + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("lender_rankings_export", _rankings_export_sql())
+def q_lender_rankings_export(spark, sf):
+    """Write the eleven ranking tables from one summary, then report
+    each written table's row count and application total (read back)."""
+    import uuid
+    from functools import reduce
+
+    from lendlens.operators import lenders
+    from lendlens.session import ensure_checkpoint_dir
+    from lendlens.sources.tables import write_many
+    tables = lenders.lender_rankings(_apps(spark, sf), _registry(spark, sf))
+    base = ensure_checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
+    out = f"{base}/lendlens-exports/rankings-{uuid.uuid4().hex[:12]}"
+    write_many(tables, out)
+    parts = [spark.read.parquet(f"{out}/{t}")
+             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_apps").cast("bigint").alias("total_apps"))
+             .select(F.lit(t).alias("table_name"), "n_rows", "total_apps") for t in tables]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @register("registry_dedup", f"""{O.with_tables('registry')}
 SELECT {O.norm_key('"LEI"')} AS lei,
        min(CASE WHEN trim("Entity.LegalName", ' \t\r\n') IN {O.lit_list(codes.NAME_PLACEHOLDERS)}
