@@ -7,7 +7,8 @@ copy. This also cuts the lineage back to the raw inputs, so a lost executor
 recomputes from the landed files, not from the raw join.
 
 A landed copy is reused when its ``_SUCCESS`` marker exists (the Parquet
-commit protocol writes it last, so a half-written copy is never read).
+commit protocol writes it last, so a half-written copy is never read) and it
+was made from the same inputs by the same package code.
 """
 
 from __future__ import annotations
@@ -24,8 +25,24 @@ from lendlens.sources import adapter
 PARTITION_COLUMNS = {"applications": ["activity_year"]}
 
 
+def _code_digest() -> str:
+    """Digest of the package sources: a landed copy made by other code (an
+    older cleaning rule, say) is never reused."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for folder, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(folder, f), "rb") as fh:
+                    h.update(f.encode() + b"\0" + fh.read())
+    return h.hexdigest()[:12]
+
+
+_CODE = _code_digest()
+
+
 def _fingerprint(sf_dir: str, deps) -> str:
-    parts = [sf_dir.rstrip("/")]
+    parts = [sf_dir.rstrip("/"), _CODE]
     for d in deps:
         p = f"{sf_dir.rstrip('/')}/{d}.parquet"
         try:
