@@ -112,9 +112,12 @@ def train_approval_model(table: DataFrame, kind: str = "rf", label: str = "appro
     enc_train = encoder.transform(train_w).withColumn("label", F.col(label).cast("double"))
     clf_model = clf.fit(enc_train)
     pipeline = PipelineModel(stages=list(encoder.stages) + [clf_model])
-    scored = (pipeline.transform(test)
-              .select(F.col(label).cast("int").alias(label),
-                      vector_to_array("probability")[1].alias("p_approve")))
+    # inference runs once: the two-column scored split is written to the
+    # shared folder and read by ROC, threshold, AUC and accuracy alike
+    scored = materialize(pipeline.transform(test)
+                         .select(F.col(label).cast("int").alias(label),
+                                 vector_to_array("probability")[1].alias("p_approve")),
+                         "scored-test")
     roc = EV.roc_curve(scored, label, "p_approve")
     yt = EV.youden_threshold(roc).first()
     threshold = float(yt["threshold"]) if yt["threshold"] is not None else 0.5
