@@ -54,3 +54,25 @@ def test_hot_lender_is_combined_map_side(spark):
     exp = base.filter("lei = 'HOT' AND derived_race = 'White'").agg(
         F.avg((F.col("action_taken") == 1).cast("int"))).first()[0]
     assert hot["white_rate"] == round(exp, 4)
+
+
+def test_large_registry_with_hot_key_is_streamed(spark):
+    """A registry too large to broadcast, one key holding a third of its rows,
+    against a small lender summary: the registry is streamed against the
+    broadcast summary (no sort-merge join that would put the hot key on one
+    task); unmatched lenders come from an anti join on distinct keys."""
+    from pyspark.sql import functions as F
+
+    from lendlens.operators import joins
+    n = 30000
+    reg = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("R"), F.col("id").cast("string"))).alias("lei"),
+        F.concat(F.lit("name"), F.col("id").cast("string")).alias("legal_name"))
+    summary = spark.createDataFrame([("HOT", 5), ("R1", 2), ("NOPE", 1)], "lei string, total int")
+    out = joins.lookup_join(summary, reg, "lei", "lei", "left", max_broadcast_rows=100)
+    out.write.format("noop").mode("overwrite").save()
+    plan = _plan(out)
+    matched = plan.split("Union", 1)[1].split("LeftAnti", 1)[0]
+    assert "BroadcastHashJoin" in matched and "SortMergeJoin" not in matched
+    got = {r["lei"]: r["c"] for r in out.groupBy("lei").agg(F.count(F.lit(1)).alias("c")).collect()}
+    assert got == {"HOT": n // 3, "R1": 1, "NOPE": 1}
