@@ -33,7 +33,7 @@ REQUIRED_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "lendlens") -> SparkSession:
+                  app: str = "lendlens", extra_conf: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (UI off, no server ports)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -44,7 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("LENDLENS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
+    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
