@@ -215,3 +215,15 @@ def not_in_keep_null(c: ColumnOrName, values: Sequence) -> Column:
 def ne_keep_null(c: ColumnOrName, value) -> Column:
     """F3 predicate: ``c != value``; NULL rows pass."""
     return ~_c(c).eqNullSafe(F.lit(value))
+
+
+def content_hash(df, seed: int | None = None, cols: Sequence[str] | None = None) -> Column:
+    """Seeded 64-bit hash of a row's content (stable under recomputation).
+    Map columns cannot be hashed by Spark and are left out; rows that differ
+    only in a map column share a hash (the callers only need a stable key)."""
+    from pyspark.sql.types import MapType
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    use = [c for c in (cols or df.columns) if not isinstance(kinds.get(c), MapType)]
+    args = ([F.lit(seed)] if seed is not None else []) + [F.col(f"`{c}`") for c in use]
+    return F.xxhash64(*args)
+

@@ -37,7 +37,7 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2,
     shuffle; re-running gives the same split on any cluster.
     """
     cols = list(cols or df.columns)
-    h = F.pmod(F.xxhash64(F.lit(seed), *[q(c) for c in cols]), F.lit(1_000_000))
+    h = F.pmod(X.content_hash(df, seed, cols), F.lit(1_000_000))
     marked = df.withColumn("_bucket", h)
     cut = int(test_fraction * 1_000_000)
     train = marked.filter(F.col("_bucket") >= cut).drop("_bucket")

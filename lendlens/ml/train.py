@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.functions import codes
+from lendlens.functions import exprs as X
 from lendlens.ml import evaluate as EV
 from lendlens.ml.features import (fit_feature_pipeline, stratified_split,
                                   with_class_weights, class_counts)
@@ -181,7 +182,7 @@ def select_features(table: DataFrame, label: str = "approved", seed: int = 42,
     n = sum(counts.values())
     encoder, names = fit_feature_pipeline(train, label)
     # stable folds from a seeded hash of the row content
-    fold = F.pmod(F.xxhash64(F.lit(seed + 1), *[F.col(f"`{c}`") for c in train.columns]),
+    fold = F.pmod(X.content_hash(train, seed + 1),
                   F.lit(folds)).cast("int")
     enc = (encoder.transform(with_class_weights(train, label, "balanced", counts)
                              .withColumn("fold", fold))

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendlens.functions import exprs as X
+
 # keys are hash values modulo 2^53, scaled to [0, 1) exactly in a double
 _SPAN = 2 ** 53
 
@@ -28,7 +30,7 @@ def sample_at_most(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
     if n <= max_rows:
         return df
     cols = df.columns
-    key = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols]),
+    key = F.pmod(X.content_hash(df, seed),
                  F.lit(_SPAN)).cast("double") / F.lit(float(_SPAN))
     keyed = df.withColumn("_u", key)
     frac = min(1.0, (max_rows + 6 * math.sqrt(max_rows)) / n)
