@@ -9,6 +9,7 @@ median (T13, T14).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -45,6 +46,50 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2,
     return train, test
 
 
+def allocate(counts: Sequence[int], n_draws: int) -> list[int]:
+    """Integer split of ``n_draws`` over classes in proportion to ``counts``:
+    floors first, the rest to the largest remainders (ties: class order)."""
+    total = sum(counts)
+    cont = [c / total * n_draws for c in counts]
+    out = [int(math.floor(x)) for x in cont]
+    need = n_draws - sum(out)
+    for i in sorted(range(len(counts)), key=lambda i: (-(cont[i] - out[i]), i))[:need]:
+        out[i] += 1
+    return out
+
+
+def stratified_split_exact(df: DataFrame, label: str, test_fraction: float = 0.2,
+                           seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """R3 with exact class sizes: ``ceil(fraction · n)`` test rows; per class
+    the train size is allocated first and the test size from the remaining
+    rows (floors plus largest remainders, as a stratified shuffle split does).
+    Within each class the rows with the smallest seeded content hash go to
+    the test side, numbered by the distributed global row number over
+    (class, hash) — range partitions, no per-class window. Costs one write of
+    the table and one range shuffle, which ``stratified_split`` avoids.
+    """
+    from lendlens.operators.window import global_row_number
+    counts = class_counts(df, label)
+    classes = sorted(counts)
+    n = sum(counts.values())
+    n_test = math.ceil(test_fraction * n)
+    cc = [counts[k] for k in classes]
+    train_n = allocate(cc, n - n_test)
+    test_n = allocate([c - t for c, t in zip(cc, train_n)], n_test)
+    start, acc = {}, 0
+    for k, c in zip(classes, cc):
+        start[k] = acc
+        acc += c
+    ranked = global_row_number(df.withColumn("_u", X.content_hash(df, seed)),
+                               [F.col(label), F.col("_u")], name="_r")
+    lit_map = lambda m: F.create_map(*[F.lit(v) for kv in m.items() for v in kv])
+    within = F.col("_r") - F.element_at(lit_map(start), F.col(label))
+    is_test = within <= F.element_at(lit_map(dict(zip(classes, test_n))), F.col(label))
+    marked = ranked.withColumn("_test", is_test).drop("_u", "_r")
+    return (marked.filter(~F.col("_test")).drop("_test"),
+            marked.filter(F.col("_test")).drop("_test"))
+
+
 def class_counts(df: DataFrame, label: str) -> dict[int, int]:
     """Rows per class (one aggregate, a two-row result)."""
     return {int(r[0]): int(r[1]) for r in df.groupBy(label).count().collect()}

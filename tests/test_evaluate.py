@@ -79,3 +79,19 @@ def test_model_roundtrip_and_reference_profiles(spark):
     rep = group_gap_report(model.score(profiles.filter("scenario LIKE 'Fairness%'")),
                            "derived_race", "p_approve", "White", "scenario").collect()
     assert len(rep) == 12 and all(r["gap_vs_reference"] == 0.0 for r in rep if r["derived_race"] == "White")
+
+
+def test_exact_stratified_split_sizes(spark):
+    """Exact per-class sizes of a stratified 80/20 split: 201/799 rows give
+    test 40/160 (train floors 160.8→161 by largest remainder, 639.2→639)."""
+    from lendlens.ml.features import allocate, stratified_split_exact
+    assert allocate([201, 799], 800) == [161, 639]
+    df = spark.range(1000).selectExpr("id", "CAST(id % 1000 < 201 AS INT) AS y")
+    df = df.selectExpr("id", "1 - y AS approved")
+    train, test = stratified_split_exact(df, "approved", 0.2, 42)
+    t = {r["approved"]: r["count"] for r in test.groupBy("approved").count().collect()}
+    tr = {r["approved"]: r["count"] for r in train.groupBy("approved").count().collect()}
+    assert t == {0: 40, 1: 160} and tr == {0: 161, 1: 639}
+    assert train.join(test, "id").count() == 0
+    _, t2 = stratified_split_exact(df.repartition(3), "approved", 0.2, 42)
+    assert sorted(r["id"] for r in test.collect()) == sorted(r["id"] for r in t2.collect())
