@@ -91,3 +91,23 @@ def materialize(df, label: str = "table"):
     path = f"{root}/lendlens-tables/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors (once per context), so
+    that Python functions of Arrow-batched operators import there even when
+    the package is not installed on the workers."""
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_lendlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="lendlens-ship-"), "lendlens.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._lendlens_shipped = True
