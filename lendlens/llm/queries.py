@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lendlens.llm.quality import op10_quality_rules
+from lendlens.llm.simhash import op5_simhash
 
-QUERIES = {"op10_quality_rules": op10_quality_rules}
+QUERIES = {"op5_simhash": op5_simhash, "op10_quality_rules": op10_quality_rules}
 ORACLES: dict[str, str] = {}
