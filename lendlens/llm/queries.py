@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from lendlens.llm.decontaminate import OP7_SQL, op7_decontamination
 from lendlens.llm.quality import op10_quality_rules
 from lendlens.llm.simhash import op5_simhash
 
-QUERIES = {"op5_simhash": op5_simhash, "op10_quality_rules": op10_quality_rules}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op5_simhash": op5_simhash, "op7_decontamination": op7_decontamination, "op10_quality_rules": op10_quality_rules}
+ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL}
