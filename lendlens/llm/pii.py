@@ -9,7 +9,9 @@ Patterns and instances form a bipartite graph per kind, scored in rounds:
     confidence(pattern, kind) = sum of instance scores / (instances + 1)
     score(instance, kind) = 1 - product over patterns of (1 - confidence)
 
-Seeds keep score 1 for their kind and 0 for others. Only patterns that have
+Seeds keep score 1 for their kind and 0 for others. A token inside a match
+that failed its check (a number that fails the Luhn test, say) is a known
+negative: it weighs against its patterns and is never discovered. Only patterns that have
 ``min_seeds`` distinct seeds and reach ``min_confidence`` pass scores on and,
 after the last round, discover: an instance of such a pattern becomes a span
 of that kind. Base spans always stay; discovered ones never overlap them.
@@ -118,12 +120,12 @@ def _marked_spans(text: Column, pattern: str, kind: int, context: bool) -> Colum
     return _with(done, joined)
 
 
-def base_spans(text: Column, kind: str) -> Column:
-    """Valid spans of one kind, in order of place."""
-    k = KINDS.index(kind)
-    found = F.filter(_marked_spans(text, PATTERNS[kind], k, context=True), lambda s: _passes(kind, s["value"]))
+def matches(text: Column, kind: str) -> Column:
+    """All matches of one kind in order of place; ``ok``: the check passes."""
+    found = F.transform(_marked_spans(text, PATTERNS[kind], KINDS.index(kind), context=True),
+                        lambda s: s.withField("ok", _passes(kind, s["value"])))
     possible = text.contains(NEEDS[kind]) if kind in NEEDS else text.rlike("[0-9]")
-    return F.when(possible, found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(possible, found)
 
 
 def _overlaps(s: Column, others: Column) -> Column:
@@ -135,11 +137,14 @@ def annotate(df: DataFrame, text_col: str, names: tuple[str, str, str], keep_tex
     the text, written once."""
     row, base, others = names
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), MARK, PLAIN)
-    (t,) = fresh(df, "pii_text")
-    found = df.withColumn(t, text).withColumn(base, F.concat(*[base_spans(F.col(t), k) for k in KINDS]))
+    t, m = fresh(df, "pii_text", "pii_matches")
+    none = F.array().cast(f"array<{SPAN[:-1]},ok:boolean>>")
+    found = df.withColumn(t, text).withColumn(m, F.concat(*[F.coalesce(matches(F.col(t), k), none) for k in KINDS]))
+    found = found.withColumn(base, F.filter(m, lambda s: s["ok"]))
     token = F.when(F.col(t).rlike("[0-9@]"), _marked_spans(F.col(t), TOKEN, -1, context=True))
-    free = F.filter(token, lambda s: ~_overlaps(s, F.col(base)))
-    found = found.withColumn(others, F.coalesce(free, F.array().cast(f"array<{SPAN}>"))).drop(t)
+    free = F.transform(F.filter(token, lambda s: ~_overlaps(s, F.col(base))),
+                       lambda s: s.withField("ok", ~_overlaps(s, F.col(m))))
+    found = found.withColumn(others, F.coalesce(free, none)).drop(t, m)
     found = found.withColumn(row, F.monotonically_increasing_id())
     return cut(found if keep_text else found.drop(text_col), "pii")
 
@@ -155,11 +160,11 @@ def _instances(annotated: DataFrame, row: str, col: str) -> DataFrame:
     trimmed = F.regexp_replace("s.value", r"^[\p{P}&&[^+(@]]+|[\p{P}&&[^)]]+$", "")
     lead = F.length(F.regexp_extract("s.value", r"^[\p{P}&&[^+(@]]+", 0))
     words = F.filter(F.split(F.lower("s.before"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    s = s.select(F.col(row), F.col("s.kind").alias("kind"), trimmed.alias("value"), F.col("s.before").alias("before"),
+    s = s.select(F.col(row), F.col("s.kind").alias("kind"), F.col("s.ok").alias("ok"), trimmed.alias("value"), F.col("s.before").alias("before"),
                  (F.col("s.start") + lead).alias("start"), words.alias("words"))
     two = F.array_join(F.slice("words", -2, 2), " ")
     return s.filter("value <> ''").select(
-        row, "kind", "value", "start", (F.col("start") + F.length("value")).alias("end"),
+        row, "kind", "ok", "value", "start", (F.col("start") + F.length("value")).alias("end"),
         F.when(F.size("words") >= 2, F.concat_ws("\x01", two, _shape(F.col("value")))).alias("two"),
         F.when(F.size("words") >= 1, F.concat_ws("\x01", F.element_at("words", -1), _shape(F.col("value")))).alias("one"))
 
@@ -175,21 +180,21 @@ def bootstrap(seeds: DataFrame, others: DataFrame, rounds: int, min_seeds: int,
     per_pattern = seeded.groupBy("pattern").agg(F.count(F.lit(1)).alias("all_seeds"))
     # patterns without enough seeds can never pass a score on
     able = cut(seed_side.filter(F.col("seeds") >= min_seeds).join(per_pattern, "pattern"), "patterns")
-    graph = cut(edges(others).distinct().join(able.select("pattern").distinct(), "pattern", "left_semi"), "graph")
-    degree = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
+    graph = cut(edges(others, "ok").distinct().join(able.select("pattern").distinct(), "pattern", "left_semi"), "graph")
+    degree = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))  # negatives too
     able = able.join(degree, "pattern", "left").fillna(0, ["instances"])
     scores = None
     for _ in range(rounds):
         if scores is None:
             gained = able.withColumn("gain", F.lit(0.0))
         else:
-            gain = graph.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("gain"))
+            gain = graph.filter("ok").join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("gain"))
             gained = able.join(gain, ["pattern", "kind"], "left").fillna(0.0, ["gain"])
         confident = cut(gained.select("pattern", "kind", (
             (F.col("seeds") + F.col("gain")) / (F.col("all_seeds") + F.col("instances") + 1)).alias("confidence")), "confidence")
         # 1 - product(1 - confidence), as a sum of logarithms
         passing = confident.filter(F.col("confidence") >= min_confidence)
-        scores = graph.join(passing, "pattern").groupBy("value", "kind").agg(
+        scores = graph.filter("ok").join(passing, "pattern").groupBy("value", "kind").agg(
             (1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999999)))))).alias("score"))
     best = F.max_by("kind", F.struct("confidence", -F.col("kind")))
     drop(able)
@@ -204,6 +209,7 @@ def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii", rounds: in
     seen = annotate(df, text_col, (row, base, others), keep_text)
     free = cut(_instances(seen, row, others), "instances")
     patterns = cut(bootstrap(_instances(seen, row, base), free, rounds, min_seeds, min_confidence), "discovering")
+    free = free.filter("ok")
     by_two = free.join(patterns.withColumnRenamed("pattern", "two").withColumnRenamed("kind", "k"), "two")
     by_one = free.join(patterns.withColumnRenamed("pattern", "one").withColumnRenamed("kind", "k"), "one")
     spans = by_two.select(row, "start", "end", "value", "k").union(by_one.select(row, "start", "end", "value", "k"))

@@ -103,11 +103,15 @@ def thresholds(counted: DataFrame, q: str, groups: tuple[str, ...], min_group: i
     out, depths = level(keys, 0), range(len(keys) + 1)
     for depth in depths[1:]:
         by = keys[: len(keys) - depth]
+        if not by:  # the corpus level is one row of quartiles
+            whole = level(by, depth).first()
+            out = out.withColumns({f"n_{depth}": F.lit(whole[f"n_{depth}"] or 0).cast("long")} | {
+                f"{r}_{depth}": F.array(*[F.lit(x).cast("double") for x in whole[f"{r}_{depth}"] or (None, None)]) for r in RATIOS})
+            continue
         same = F.lit(True)
         for k in by:
             same &= F.col(f"{k}_0").eqNullSafe(F.col(f"{k}_{depth}"))
-        # the corpus level is one row; a language level has one per language
-        out = out.join(F.broadcast(level(by, depth)) if not by else small(level(by, depth)), same)
+        out = out.join(small(level(by, depth)), same)
     chosen = F.lit(depths[-1])
     for depth in reversed(depths[:-1]):
         chosen = F.when(F.col(f"n_{depth}") >= min_group, F.lit(depth)).otherwise(chosen)
