@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from lendlens.llm.decontaminate import OP7_SQL, op7_decontamination
+from lendlens.llm.packing import op8_packing
 from lendlens.llm.pii import op1_pii
 from lendlens.llm.quality import op10_quality_rules
 from lendlens.llm.simhash import op5_simhash
 
-QUERIES = {"op1_pii": op1_pii, "op5_simhash": op5_simhash, "op7_decontamination": op7_decontamination, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_pii": op1_pii, "op5_simhash": op5_simhash, "op7_decontamination": op7_decontamination, "op8_packing": op8_packing, "op10_quality_rules": op10_quality_rules}
 ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL}
