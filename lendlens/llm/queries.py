@@ -8,5 +8,18 @@ from lendlens.llm.pii import op1_pii
 from lendlens.llm.quality import op10_quality_rules
 from lendlens.llm.simhash import op5_simhash
 
-QUERIES = {"op1_pii": op1_pii, "op5_simhash": op5_simhash, "op7_decontamination": op7_decontamination, "op8_packing": op8_packing, "op10_quality_rules": op10_quality_rules}
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op5_simhash": op5_simhash,
+    "op7_decontamination": op7_decontamination,
+    "op8_packing": op8_packing,
+    "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
+}
 ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL}
