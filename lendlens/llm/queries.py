@@ -7,6 +7,7 @@ from lendlens.llm.packing import op8_packing
 from lendlens.llm.pii import op1_pii
 from lendlens.llm.quality import op10_quality_rules
 from lendlens.llm.simhash import op5_simhash
+from lendlens.llm.warc import OP9_SQL, op9_warc
 
 
 def pipeline(spark, sf_dir):
@@ -19,7 +20,8 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL}
+ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
