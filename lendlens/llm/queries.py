@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lendlens.llm.decontaminate import OP7_SQL, op7_decontamination
+from lendlens.llm.langid import op3_language_id
 from lendlens.llm.packing import op8_packing
 from lendlens.llm.pii import op1_pii
 from lendlens.llm.quality import op10_quality_rules
@@ -17,6 +18,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op3_language_id": op3_language_id,
     "op5_simhash": op5_simhash,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
