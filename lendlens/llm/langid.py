@@ -1,8 +1,8 @@
 """Language identification by nearest centroid (operator 3).
 
-A text is the TF-IDF vector of its character n-grams: n-grams of 1 to 3 bytes
-of the lower-cased text, white space and digits folded, hashed to ``BUCKETS``
-dimensions, 1 + log(tf) times the inverse document frequency, length 1. The
+A text is the TF-IDF vector of its character n-grams: n-grams of 1 to 4 bytes
+of the lower-cased text, in which runs of ASCII characters other than letters
+are one space, hashed to ``BUCKETS`` dimensions, 1 + log(tf) times the inverse document frequency, length 1. The
 document frequencies are counted over every training text. Per language,
 spherical k-means clusters the vectors of a bounded sample of its training
 texts (``per_language`` of the lowest hashes of id and text) into at most
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lendlens.llm.common import fresh, per_text, table
 
-BUCKETS = 1 << 13
+BUCKETS = 1 << 14
 #: Training texts per language that the centroids are fitted on, at most.
 PER_LANGUAGE = 1000
 UNKNOWN = "und"
@@ -38,22 +38,22 @@ PIECE = 1 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.int64)
-_FOLD[[9, 10, 11, 12, 13]] = 32
-_FOLD[48:58] = 48
+_FOLD[[c for c in range(128) if not chr(c).isalpha()]] = 32
+LONGEST = 4
 
 
 def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers and counts of the n-grams of one whole text."""
     raw = _FOLD[np.frombuffer(f" {text.lower()} ".encode(), np.uint8)]
+    raw = raw[np.append(True, (raw[1:] != 32) | (raw[:-1] != 32))]
     total = np.zeros(BUCKETS, np.int64)
-    for k in range(0, len(raw), PIECE):  # long texts piece by piece; pieces overlap by two bytes
-        part = raw[k : k + PIECE + 2]
-        own = min(PIECE, len(part))
+    for k in range(0, len(raw), PIECE):  # long texts piece by piece; pieces overlap
+        part = raw[k : k + PIECE + LONGEST - 1]
         gram = np.zeros(len(part), np.int64)
-        for n in range(1, 4):
-            gram = gram[: len(part) - n + 1] * 257 + part[n - 1 :] + 1
-            mixed = (gram * 0x9E3779B97F4A7C1 + n) & 0x7FFFFFFFFFFFFFFF
-            total += np.bincount((mixed >> 40) % BUCKETS if len(mixed) <= own else (mixed[:own] >> 40) % BUCKETS, minlength=BUCKETS)
+        for n in range(1, LONGEST + 1):
+            gram = gram[: max(0, len(part) - n + 1)] * 257 + part[n - 1 :] + 1
+            mixed = (gram[:PIECE] * 0x9E3779B97F4A7C1 + n) & 0x7FFFFFFFFFFFFFFF
+            total += np.bincount((mixed >> 40) % BUCKETS, minlength=BUCKETS)
     at = np.nonzero(total)[0]
     return at, total[at]
 
