@@ -8,6 +8,7 @@ from lendlens.llm.packing import op8_packing
 from lendlens.llm.pii import op1_pii
 from lendlens.llm.quality import op10_quality_rules
 from lendlens.llm.simhash import op5_simhash
+from lendlens.llm.substring import OP6_SQL, op6_substring_dedup
 from lendlens.llm.warc import OP9_SQL, op9_warc
 
 
@@ -20,10 +21,11 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_language_id": op3_language_id,
     "op5_simhash": op5_simhash,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
+ORACLES: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
