@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lendlens.llm.decontaminate import OP7_SQL, op7_decontamination
 from lendlens.llm.langid import op3_language_id
+from lendlens.llm.licenses import op2_license_scan
 from lendlens.llm.lm import op4_lm_scores
 from lendlens.llm.packing import op8_packing
 from lendlens.llm.pii import op1_pii
@@ -20,6 +21,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_license_scan": op2_license_scan,
     "op3_language_id": op3_language_id,
     "op4_lm_scores": op4_lm_scores,
     "op5_simhash": op5_simhash,
