@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import fresh, per_text, table
+from lendlens.llm.common import fresh, per_text, small, table
 
 BUCKETS = 1 << 14
 #: Training texts per language that the centroids are fitted on, at most.
@@ -89,8 +89,7 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarra
 
 def fit(train: DataFrame, text_col: str, label_col: str, id_col: str, clusters: int, per_language: int, reach: float,
         least: float) -> dict:
-    """The model: idf, centroids, their languages and limits. On the driver:
-    at most ``per_language`` texts' vectors a language."""
+    """The model: idf, centroids, their languages and limits."""
     usable = train.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,32 +108,33 @@ def fit(train: DataFrame, text_col: str, label_col: str, id_col: str, clusters:
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    order = F.xxhash64(F.col(id_col), F.col(text_col))
-    # each task keeps its lowest hashes first, so no language meets in one task
-    local = usable.select(label_col, text_col, order.alias("h")).withColumn("part", F.spark_partition_id())
-    local = local.withColumn("r", F.row_number().over(Window.partitionBy(label_col, "part").orderBy("h"))).filter(F.col("r") <= per_language)
-    sample = local.withColumn("r", F.row_number().over(Window.partitionBy(label_col).orderBy("h", text_col))).filter(F.col("r") <= per_language)
-
-    def vectors(text: str) -> tuple:
-        if not has_letter(text):
-            return (None, None)
-        at, v = vector(text, idf)
-        return (at.tolist(), v.tolist())
-
-    made = sample.select(F.col(label_col).alias("label"), per_text(vectors, "at array<int>, v array<double>")(F.col(text_col)).alias("x"))
-    groups: dict[str, list] = {}
-    for r in made.filter("x.at is not null").toLocalIterator():
-        row = np.zeros(BUCKETS, np.float32)
-        row[r["x"]["at"]] = r["x"]["v"]
-        groups.setdefault(r["label"], []).append(row)
-    centroids, labels, limits = [], [], []
-    for label in sorted(groups):
-        c, cosines = spherical_kmeans(np.stack(groups[label]), clusters)
-        centroids.append(c)
-        labels += [label] * len(c)
-        limits += [max(least, float(cosines.mean() - reach * cosines.std()))] * len(c)
-    return {"idf": idf, "centroids": np.concatenate(centroids) if centroids else np.empty((0, BUCKETS), np.float32),
-            "labels": labels, "limits": limits}
+    # the per_language-th lowest distinct hash of each language, found without
+    # moving texts: each task keeps its lowest first, so no language meets whole
+    h = F.xxhash64(F.col(id_col), F.col(text_col))
+    low = usable.select(F.col(label_col).alias("label"), h.alias("h"), F.spark_partition_id().alias("part"))
+    for by in (["label", "part"], ["label"]):
+        low = low.select(*by, "h").distinct().withColumn(
+            "r", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).filter(F.col("r") <= per_language)
+    limit = small(low.groupBy("label").agg(F.max("h").alias("most")))
+    sample = usable.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), h.alias("h")).join(limit, "label").filter(
+        F.col("h") <= F.col("most")).dropDuplicates(["label", "h"])
+
+    def centroids(key, rows: pd.DataFrame) -> pd.DataFrame:
+        """k-means over one language's sample: at most per_language texts."""
+        made = [vector(t, idf) for t in rows.sort_values("h")["text"] if has_letter(t)]
+        if not made:
+            return pd.DataFrame({"label": [], "j": [], "limit": [], "centroid": []})
+        x = np.zeros((len(made), BUCKETS), np.float32)
+        for row, (at, v) in zip(x, made, strict=True):
+            row[at] = v
+        c, cosines = spherical_kmeans(x, clusters)
+        limit = max(least, float(cosines.mean() - reach * cosines.std()))
+        return pd.DataFrame({"label": key[0], "j": range(len(c)), "limit": limit, "centroid": list(c.astype(np.float64))})
+
+    found = sample.groupBy("label").applyInPandas(centroids, "label string, j int, limit double, centroid array<double>")
+    rows = sorted(found.collect(), key=lambda r: (r["label"], r["j"]))  # at most clusters rows a language
+    return {"idf": idf, "centroids": np.array([r["centroid"] for r in rows], np.float32).reshape(len(rows), BUCKETS),
+            "labels": [r["label"] for r in rows], "limits": [r["limit"] for r in rows]}
 
 
 def identify(df: DataFrame, model: dict, text_col: str = "text", out: str = "language") -> DataFrame:
