@@ -42,8 +42,9 @@ def roc_curve(scored: DataFrame, label: str, score: str) -> DataFrame:
 
 def auc_from_roc(roc: DataFrame) -> DataFrame:
     """M8: area under the ROC curve from the curve rows (one aggregate)."""
-    part = F.col("neg") * (2 * F.col("tps") - F.col("pos"))
-    return roc.agg((F.sum(part) / (2.0 * F.sum("neg") * F.max(F.col("tps")))).alias("auc"))
+    neg, tps, pos = (F.col(c).cast("double") for c in ("neg", "tps", "pos"))
+    part = neg * (2 * tps - pos)  # DOUBLE: the product of two counts outgrows BIGINT
+    return roc.agg((F.sum(part) / (2.0 * F.sum(neg) * F.max(tps))).alias("auc"))
 
 
 def youden_threshold(roc: DataFrame) -> DataFrame:

@@ -30,16 +30,19 @@ def safe_name(c: str) -> str:
 
 def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2,
                      seed: int = 42, cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Stateless hash split, stratified in expectation within each class.
+    """Hash split of rows, stratified in expectation within each class.
 
-    A row goes to the test side when a seeded 64-bit hash of its content falls
-    below the fraction. Each class is split at the same rate independently,
-    with no per-class window (which would put a class in one task) and no
-    shuffle; re-running gives the same split on any cluster.
+    Rows are written once with an id (``cols`` names an existing unique key
+    instead), and go to the test side when a seeded 64-bit hash of the id
+    falls below the fraction, so equal rows are split independently. Each
+    class is split at the same rate, with no per-class window (which would put
+    a class in one task) and no shuffle.
     """
-    cols = list(cols or df.columns)
-    h = F.pmod(X.content_hash(df, seed, cols), F.lit(1_000_000))
-    marked = df.withColumn("_bucket", h)
+    from lendlens.operators.sampling import ROW_ID, with_row_id
+    if not cols:
+        df = with_row_id(df)
+    h = F.pmod(F.xxhash64(F.lit(seed), *[q(c) for c in cols or [ROW_ID]]), F.lit(1_000_000))
+    marked = df.withColumn("_bucket", h).drop(ROW_ID)
     cut = int(test_fraction * 1_000_000)
     train = marked.filter(F.col("_bucket") >= cut).drop("_bucket")
     test = marked.filter(F.col("_bucket") < cut).drop("_bucket")
@@ -63,11 +66,12 @@ def stratified_split_exact(df: DataFrame, label: str, test_fraction: float = 0.2
     """R3 with exact class sizes: ``ceil(fraction · n)`` test rows; per class
     the train size is allocated first and the test size from the remaining
     rows (floors plus largest remainders, as a stratified shuffle split does).
-    Within each class the rows with the smallest seeded content hash go to
-    the test side, numbered by the distributed global row number over
+    Within each class the rows with the smallest seeded hash of a written row
+    id go to the test side, numbered by the distributed global row number over
     (class, hash) — range partitions, no per-class window. Costs one write of
     the table and one range shuffle, which ``stratified_split`` avoids.
     """
+    from lendlens.operators.sampling import ROW_ID, with_row_id
     from lendlens.operators.window import global_row_number
     counts = class_counts(df, label)
     classes = sorted(counts)
@@ -80,12 +84,12 @@ def stratified_split_exact(df: DataFrame, label: str, test_fraction: float = 0.2
     for k, c in zip(classes, cc):
         start[k] = acc
         acc += c
-    ranked = global_row_number(df.withColumn("_u", X.content_hash(df, seed)),
-                               [F.col(label), F.col("_u")], name="_r")
+    keyed = with_row_id(df).withColumn("_u", F.xxhash64(F.lit(seed), F.col(ROW_ID)))
+    ranked = global_row_number(keyed, [F.col(label), F.col("_u"), F.col(ROW_ID)], name="_r")
     lit_map = lambda m: F.create_map(*[F.lit(v) for kv in m.items() for v in kv])
     within = F.col("_r") - F.element_at(lit_map(start), F.col(label))
     is_test = within <= F.element_at(lit_map(dict(zip(classes, test_n))), F.col(label))
-    marked = ranked.withColumn("_test", is_test).drop("_u", "_r")
+    marked = ranked.withColumn("_test", is_test).drop("_u", "_r", ROW_ID)
     return (marked.filter(~F.col("_test")).drop("_test"),
             marked.filter(F.col("_test")).drop("_test"))
 

@@ -104,7 +104,7 @@ def league_table(summary: DataFrame, by: str, key: str = "lei",
     if named_only:
         df = df.filter(q(name_col) != unknown_name)
     order = [F.col(c).desc_nulls_last() for c in LEAGUE_ORDERS[by]] + [F.col(key).asc()]
-    return global_row_number(df, order, name="rank")
+    return global_row_number(df, order, name="rank").withColumn("rank", F.col("rank").cast("int"))  # lenders fit INT
 
 
 def unmatched_lenders(summary: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ def fairness_table(apps: DataFrame, registry: DataFrame | None = None,
     order = [F.col("fairness_score").asc_nulls_last(), F.col("lei").asc(),
              F.col("institution_name").asc_nulls_last(), F.col("city").asc_nulls_last(),
              F.col("state").asc_nulls_last()]
-    ranked = global_row_number(lenders, order, name="rank")
+    ranked = global_row_number(lenders, order, name="rank").withColumn("rank", F.col("rank").cast("int"))
     cols = (["rank", "lei", "institution_name", "city", "state", "total_loans"]
             + [f"{s}_rate" for s in groups] + [f"{s}_gap" for s in others]
             + ["fairness_score"] + [f"{s}_count" for s in groups])

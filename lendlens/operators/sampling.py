@@ -13,16 +13,30 @@ from lendlens.functions import exprs as X
 _SPAN = 2 ** 53
 
 
+ROW_ID = "_row_id"
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``df`` written with a unique id per row: its place in the order of a
+    content hash. Equal rows get ids of their own, and the same rows get the
+    same ids however they are partitioned. Range partitions on (hash, arrival
+    number), so a row that fills a third of the table is split too."""
+    from lendlens.operators.window import global_row_number
+    from lendlens.session import materialize
+    keyed = df.withColumn("_h", X.content_hash(df)).withColumn("_m", F.monotonically_increasing_id())
+    return materialize(global_row_number(keyed, [F.col("_h"), F.col("_m")], name=ROW_ID).drop("_h", "_m"), "row-ids")
+
+
 def sample_at_most(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
     """A seeded sample of exactly ``min(count, max_rows)`` rows.
 
-    Every row gets a uniform key from a seeded hash of its content (stable
-    under recomputation after an executor loss). A prefilter keeps the keys
+    Every row gets an id, written with the row, and a uniform key from a
+    seeded hash of that id: equal rows are drawn independently, and a
+    recomputation after an executor loss finds the same keys. A prefilter keeps the keys
     below ``(max_rows + 6·sqrt(max_rows)) / count`` — more than ``max_rows``
     rows except with negligible probability, re-run without the prefilter if
     not — and the ``max_rows`` smallest keys are taken with the distributed
     global row number (range partitions, no single-task sort or limit).
-    Identical rows share a key, and any of them is the same row.
     """
     from lendlens.operators.window import global_row_number
     from lendlens.session import materialize
@@ -30,14 +44,13 @@ def sample_at_most(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
     if n <= max_rows:
         return df
     cols = df.columns
-    key = F.pmod(X.content_hash(df, seed),
-                 F.lit(_SPAN)).cast("double") / F.lit(float(_SPAN))
-    keyed = df.withColumn("_u", key)
+    key = F.pmod(F.xxhash64(F.lit(seed), F.col(ROW_ID)), F.lit(_SPAN)).cast("double") / F.lit(float(_SPAN))
+    keyed = with_row_id(df).withColumn("_u", key)
     frac = min(1.0, (max_rows + 6 * math.sqrt(max_rows)) / n)
     kept = materialize(keyed.filter(F.col("_u") < F.lit(frac)), "sample-candidates")
     if kept.count() < max_rows:
         kept = materialize(keyed, "sample-candidates")
-    ranked = global_row_number(kept, [F.col("_u")], name="_r")
+    ranked = global_row_number(kept, [F.col("_u"), F.col(ROW_ID)], name="_r")
     return ranked.filter(F.col("_r") <= max_rows).select(*[F.col(f"`{c}`") for c in cols])
 
 

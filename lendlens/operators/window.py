@@ -4,13 +4,11 @@ A window with ``orderBy`` but no ``partitionBy`` moves every row into one
 task. The input (already aggregated: lenders, distinct scores) is first
 written once as Parquet in the session's shared ``spark.checkpoint.dir``
 folder, which computes the upstream plan exactly once and cuts its lineage.
-When the written copy is proven small (≤ ``SINGLE_TASK_MAX_ROWS``), one
-ordered window over it is a bounded single task. Otherwise the rows are
-range-partitioned on the sort keys; each range partition is numbered locally
-and shifted by the row counts (or sums) of all earlier partitions, a table
-with one row per partition (a proven broadcast bound). Range bounds are
-sampled from the written copy with fixed seeds, so a recomputation after an
-executor loss places every row in the same partition again.
+The rows are then range-partitioned on the sort keys; each range partition is
+numbered locally and shifted by the row counts (or sums) of all earlier
+partitions, a table with one row per partition (a proven broadcast bound).
+Small and large inputs take the same path. The partition of each row is
+written too, so that a recomputation after an executor loss finds it again.
 """
 
 from __future__ import annotations
@@ -24,14 +22,6 @@ from lendlens.session import materialize
 
 _PID = "_range_pid"
 
-# A table proven to hold at most this many rows is ordered in one task (a
-# bounded group); larger ones use the two-level scheme below.
-SINGLE_TASK_MAX_ROWS = 200_000
-
-
-def _small(df: DataFrame) -> bool:
-    return df.limit(SINGLE_TASK_MAX_ROWS + 1).count() <= SINGLE_TASK_MAX_ROWS
-
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -41,10 +31,11 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 def range_partitioned(df: DataFrame, order: Sequence[Column],
                       num_partitions: int | None = None) -> DataFrame:
-    """Range-partition a written (stable) input on ``order`` and attach the
-    partition id."""
+    """Range-partition a written (stable) input on ``order`` and write it with
+    the partition id. The bounds are sampled anew by each execution, so rows
+    and offsets must both come from the written ids."""
     n = _partitions(df, num_partitions)
-    return df.repartitionByRange(n, *order).withColumn(_PID, F.spark_partition_id())
+    return materialize(df.repartitionByRange(n, *order).withColumn(_PID, F.spark_partition_id()), "ranges")
 
 
 def _offsets(parted: DataFrame, aggs: dict[str, Column]) -> DataFrame:
@@ -58,17 +49,15 @@ def _offsets(parted: DataFrame, aggs: dict[str, Column]) -> DataFrame:
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank",
                       num_partitions: int | None = None) -> DataFrame:
-    """1-based row number in the total order ``order`` (ties broken by the
+    """1-based BIGINT row number in the total order ``order`` (ties broken by the
     caller: pass enough keys for a total order)."""
     df = materialize(df, "rank-input")
-    if num_partitions is None and _small(df):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("int"))
     parted = range_partitioned(df, order, num_partitions)
     offsets = _offsets(parted, {"n": F.count(F.lit(1))})
     local = F.row_number().over(Window.partitionBy(_PID).orderBy(*order))
     return (parted.withColumn("_local", local)
             .join(F.broadcast(offsets), _PID)
-            .withColumn(name, (F.col("_local") + F.col("_off_n")).cast("int"))
+            .withColumn(name, F.col("_local") + F.col("_off_n"))
             .drop(_PID, "_local", "_off_n"))
 
 
@@ -76,9 +65,6 @@ def global_running_sum(df: DataFrame, order: Sequence[Column], cols: Sequence[st
                        prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sums of ``cols`` in the total order ``order``."""
     df = materialize(df, "cumsum-input")
-    if num_partitions is None and _small(df):
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in cols])
     parted = range_partitioned(df, order, num_partitions)
     offsets = _offsets(parted, {c: F.sum(c) for c in cols})
     w = (Window.partitionBy(_PID).orderBy(*order)

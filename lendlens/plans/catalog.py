@@ -408,6 +408,32 @@ def q_merge_outcomes(spark, sf):
     return _merged(spark, sf)
 
 
+_CSV_MERGE_COLUMNS = ["src_orderkey", "src_linenumber", "activity_year", "action_taken", "loan_amount",
+                      "debt_to_income_ratio", "approved"]
+
+
+@register("csv_yearly_merge", _merged_ctes() + "\nSELECT " + ", ".join(_CSV_MERGE_COLUMNS) + " FROM merged")
+def q_csv_yearly_merge(spark, sf):
+    """S1, S3, U1, Q1–Q3 from files: each year's applications as a CSV of its
+    own, columns in another order and one column missing in one year, loaded
+    by name, cleaned and merged."""
+    from lendlens.sources.tables import load_years, write_table
+    from lendlens.streaming.landing import incremental_demo_paths
+    apps = _apps(spark, sf)
+    base = incremental_demo_paths(spark)["raw"]
+    years = sorted(r[0] for r in apps.select("activity_year").distinct().collect())  # one per file set
+    names = [c for c in apps.columns if c != "activity_year"]
+    for k, year in enumerate(years):
+        order = names[k:] + names[:k]
+        if k == 1:
+            order.remove("hoepa_status")
+        write_table(apps.filter(F.col("activity_year") == year).select(*[F.col(f"`{c}`") for c in order]),
+                    f"{base}/applications_{year}.csv", fmt="csv")
+    loaded = load_years(spark, base, years, pattern="{base}/applications_{year}.csv", year_col="activity_year")
+    merged = hmda.merge_outcomes_from(hmda.clean_applications_from(loaded), hmda.clean_denials_from(loaded))
+    return merged.select(*[F.col(c).cast("long").alias(c) if c.startswith("src_") else F.col(c) for c in _CSV_MERGE_COLUMNS])
+
+
 @register("class_balance", _merged_ctes() + """
 SELECT approved, count(*) AS count, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share
 FROM merged GROUP BY approved""")
@@ -876,10 +902,17 @@ def q_select_features(spark, sf):
     return hmda.select_features_from(_apps(spark, sf))[0]
 
 
-@register("stratified_split")
+@register("stratified_split", _model_features_sql() + """,
+c AS (SELECT approved, count(*) AS k, sum(count(*)) OVER () AS n FROM model GROUP BY approved),
+f AS (SELECT *, CAST(k AS DOUBLE) / n * (n - ceil(0.2 * n)) AS want FROM c),
+a AS (SELECT *, (n - ceil(0.2 * n)) - sum(floor(want)) OVER () AS need,
+             row_number() OVER (ORDER BY want - floor(want) DESC, approved) AS place FROM f),
+s AS (SELECT approved, k, CAST(floor(want) + CASE WHEN place <= need THEN 1 ELSE 0 END AS BIGINT) AS train FROM a)
+SELECT 'train' AS split, approved, train AS count FROM s
+UNION ALL SELECT 'test', approved, k - train FROM s""")
 def q_stratified_split(spark, sf):
-    from lendlens.ml.features import stratified_split
-    train, test = stratified_split(_model(spark, sf), "approved", 0.2, 42)
+    from lendlens.ml.features import stratified_split_exact
+    train, test = stratified_split_exact(_model(spark, sf), "approved", 0.2, 42)
     return (train.withColumn("split", F.lit("train"))
             .unionByName(test.withColumn("split", F.lit("test")))
             .groupBy("split", "approved").count())
@@ -925,7 +958,7 @@ def q_land_incremental(spark, sf):
     p = incremental_demo_paths(spark)
     stage_yearly_csv(apps, p["raw"], years=[2019, 2020, 2021])
     first = land_incremental(spark, p["raw"], p["target"], p["checkpoint"], cols)
-    stage_yearly_csv(apps.filter(~F.col("activity_year").isin(2019, 2020, 2021)), p["raw"])
+    stage_yearly_csv(apps.filter(~F.coalesce(F.col("activity_year").isin(2019, 2020, 2021), F.lit(False))), p["raw"])
     second = land_incremental(spark, p["raw"], p["target"], p["checkpoint"], cols)
     third = land_incremental(spark, p["raw"], p["target"], p["checkpoint"], cols)
     if third != 0 or first <= 0:
@@ -934,8 +967,15 @@ def q_land_incremental(spark, sf):
     return landed.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in O.APP_COLUMNS])
 
 
-@register("sample_applications")
+@register("sample_applications", f"""{O.with_tables('applications')}
+SELECT least(5000, count(*)) AS n_rows, CAST(0 AS BIGINT) AS n_foreign FROM applications""")
 def q_sample_applications(spark, sf):
-    """R1 with the reference's cap of 1,000,000 rows (rows-only check)."""
+    """R1 with a cap below the table: the sample's size, and how many
+    of its rows the table does not hold."""
     from lendlens.operators.sampling import sample_at_most
-    return sample_at_most(_apps(spark, sf), 1_000_000, seed=42)
+    keys = ["src_orderkey", "src_linenumber"]
+    apps = _apps(spark, sf)
+    taken = sample_at_most(apps.select(*keys, "lei", "action_taken"), 5000, seed=42)
+    known = apps.select(*[F.col(k).alias(f"own_{k}") for k in keys])
+    foreign = taken.join(known, [taken[k] == known[f"own_{k}"] for k in keys], "left_anti").agg(F.count(F.lit(1)).alias("n_foreign"))
+    return taken.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_foreign", F.lit(foreign.first()[0]))

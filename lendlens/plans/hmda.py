@@ -35,11 +35,18 @@ def lender_fairness_from(apps: DataFrame, registry: DataFrame,
 # --------------------------------------------------------------------------
 # Q1 / Q2 — cleaned pricing and denial datasets
 # --------------------------------------------------------------------------
+def _integer_codes(df: DataFrame) -> DataFrame:
+    """Outcome code and year as integers, as text from a CSV scan too, so that
+    the cleaned tables agree on their types."""
+    return df.withColumns({c: X.to_int(q(c)) for c in ("action_taken", "activity_year")
+                           if dict(df.dtypes).get(c) == "string"})
+
+
 def clean_applications_from(apps: DataFrame, keep_30_36: bool = False,
                             drop_age_placeholder: bool = False) -> DataFrame:
     """Q1: NA tokens → NULL, coerce amount and rate, drop commercial loans
     and demographic placeholders (NULL kept), re-bin DTI, require columns."""
-    df = normalize_na(apps)
+    df = _integer_codes(normalize_na(apps))
     df = (df.withColumn("loan_amount", X.to_number_commas("loan_amount"))
             .withColumn("interest_rate", X.to_number("interest_rate")))
     df = FL.exclude(df, "business_or_commercial_purpose", codes.COMMERCIAL_CODES)
@@ -64,11 +71,7 @@ def clean_denials_from(apps: DataFrame, keep_30_36: bool = False,
                 "property_value": X.to_number_commas}
     for c, f in num_cols.items():
         df = df.withColumn(c, f(c))
-    if dict(df.dtypes)["action_taken"] == "string":
-        df = df.withColumn("action_taken", X.to_number("action_taken"))
-    if dict(df.dtypes)["activity_year"] == "string":
-        df = df.withColumn("activity_year", X.to_number("activity_year"))
-    df = df.filter(F.col("action_taken") == 3)
+    df = _integer_codes(df).filter(F.col("action_taken") == 3)
     commercial = codes.COMMERCIAL_CODES + [str(v) for v in codes.COMMERCIAL_CODES]
     bcp = q("business_or_commercial_purpose")
     df = df.filter(X.not_in_keep_null(bcp.cast("string"), [str(v) for v in commercial]))
@@ -123,7 +126,7 @@ def model_features_from(apps: DataFrame, extra: tuple = ("action_taken", "activi
             sel.append(F.when(X.strip(q(c)) == "Exempt", F.lit(-1.0))
                        .otherwise(X.to_number_commas(q(c))).alias(c))
         elif c in MODEL_CODES:
-            sel.append(q(c).cast("double").alias(c))
+            sel.append(X.to_number(q(c)).alias(c))
         elif c in codes.MODEL_CATEGORICAL:
             sel.append(F.coalesce(q(c), F.lit("Missing")).alias(c))
         else:
@@ -133,11 +136,12 @@ def model_features_from(apps: DataFrame, extra: tuple = ("action_taken", "activi
 
 def model_table_from(apps: DataFrame) -> DataFrame:
     """Q4: approved (code 1) and denied (code 3) files, labelled and unioned,
-    leakage columns dropped (U3). Fill happens on both files alike."""
-    from lendlens.sources.tables import labelled_union
-    feats = model_features_from(apps)
-    return labelled_union(feats.filter(F.col("action_taken") == 1),
-                          feats.filter(F.col("action_taken") == 3))
+    leakage columns dropped (U3). Both files come from one table here, so one
+    filter and the label give the union's rows in one scan."""
+    from lendlens.sources.tables import drop_existing
+    feats = model_features_from(_integer_codes(apps)).filter(F.col("action_taken").isin(1, 3))
+    return drop_existing(feats.withColumn("approved", (F.col("action_taken") == 1).cast("int")),
+                         ("action_taken", "activity_year"))
 
 
 # --------------------------------------------------------------------------

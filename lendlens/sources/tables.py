@@ -33,10 +33,17 @@ def read_csv_table(spark: SparkSession, path: str | Sequence[str],
     operator, so the CSV reader prunes the remaining columns.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    names = list(header) if header is not None else _header(spark, paths[0])
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    df = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-          .schema(schema).csv(paths))
+    if header is None and len(paths) > 1:  # by name: each source has its own header
+        parts = [read_csv_table(spark, p, normalize=False) for p in paths]
+        df = parts[0]
+        for part in parts[1:]:
+            df = df.unionByName(part, allowMissingColumns=True)
+    else:
+        names = list(header) if header is not None else _header(spark, paths[0])
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        # files of one source must agree on the header: the reader checks it
+        df = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
+              .option("enforceSchema", str(header is not None).lower()).schema(schema).csv(paths))
     if columns is not None:
         if callable(columns):
             keep = [c for c in df.columns if columns(c)]
@@ -66,18 +73,15 @@ def normalize_na(df: DataFrame, cols: Iterable[str] | None = None,
 def load_years(spark: SparkSession, base: str, years: Sequence[int],
                pattern: str = "{base}/year={year}", fmt: str = "csv",
                year_col: str = "year") -> DataFrame:
-    """Read one file set per year with a literal year column, union all.
-
-    One scan over all paths; the year is derived from the file path, so no
-    per-year Python loop of jobs is needed.
-    """
-    paths = [pattern.format(base=base, year=y) for y in years]
-    if fmt == "csv":
-        df = read_csv_table(spark, paths)
-    else:
-        df = spark.read.format(fmt).load(paths)
-    year = F.regexp_extract(F.col("_metadata.file_path"), r"year=(\d{4})", 1).cast("int")
-    return df.withColumn(year_col, year)
+    """Read one file set per year, any file name pattern, with a literal
+    year column; union by column name (a column that a year lacks is NULL)."""
+    out = None
+    for y in years:
+        path = pattern.format(base=base, year=y)
+        df = read_csv_table(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+        df = df.withColumn(year_col, F.lit(int(y)))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 # --------------------------------------------------------------------------

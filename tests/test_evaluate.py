@@ -95,3 +95,44 @@ def test_exact_stratified_split_sizes(spark):
     assert train.join(test, "id").count() == 0
     _, t2 = stratified_split_exact(df.repartition(3), "approved", 0.2, 42)
     assert sorted(r["id"] for r in test.collect()) == sorted(r["id"] for r in t2.collect())
+
+
+def test_auc_of_very_many_rows(spark):
+    """9e9 scored rows: the products of counts do not fit a BIGINT."""
+    from lendlens.ml.evaluate import auc_from_roc
+    n = 3_000_000_000
+    rows = [(0.9, 2 * n, n, 2 * n, n), (0.1, n, 5 * n, 3 * n, 6 * n)]
+    roc = spark.createDataFrame(rows, "threshold double, pos long, neg long, tps long, fps long")
+    got = auc_from_roc(roc).first()["auc"]
+    assert abs(got - (1 * 2 + 5 * 5) / (2 * 6 * 3)) < 1e-12
+
+
+def test_split_and_sample_of_repeated_rows(spark):
+    """Half of the rows are equal: they are split and drawn like the others."""
+    from pyspark.sql import functions as F
+
+    from lendlens.ml.features import stratified_split, stratified_split_exact
+    from lendlens.operators.sampling import sample_at_most
+    df = spark.range(20_000, numPartitions=4).select(
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("x"), (F.col("id") % 10 < 3).cast("int").alias("y"))
+    train, test = stratified_split(df, "y", 0.2)
+    assert train.count() + test.count() == 20_000
+    for part in (test, test.filter("x = -1")):
+        whole = df if part is test else df.filter("x = -1")
+        assert abs(part.count() / whole.count() - 0.2) < 0.015
+    train, test = stratified_split_exact(df, "y", 0.2)
+    assert {r["y"]: r["count"] for r in test.groupBy("y").count().collect()} == {0: 2800, 1: 1200}
+    taken = sample_at_most(df, 2000)
+    assert taken.count() == 2000 and abs(taken.filter("x = -1").count() - 1000) < 120
+
+
+def test_l1_ranks_by_standard_units(spark):
+    """A strong feature in large units outranks a weak one in small units."""
+    from pyspark.sql import functions as F
+
+    from lendlens.ml.train import select_features
+    df = spark.range(600, numPartitions=2).select(
+        (F.rand(1) * 400_000).alias("loan_amount"), F.rand(2).alias("loan_to_value_ratio"), F.rand(3).alias("u"))
+    df = df.withColumn("approved", (F.col("loan_amount") / 400_000 * 4 + F.col("loan_to_value_ratio") + F.col("u") * 0.5 > 2.7).cast("int")).drop("u")
+    chosen, info = select_features(df, num_c=2, max_iter=50)
+    assert "loan_amount" in chosen.first()["feature"] and info["test_auc"] > 0.9

@@ -73,3 +73,29 @@ def test_incremental_landing_skips_landed_files(spark):
     landed = spark.read.parquet(f"{d}/out")
     assert landed.count() == 15
     assert landed.filter(F.col("activity_year") == 2021).count() == 5
+
+
+def _csv(path, text):
+    path.mkdir(parents=True)
+    (path / "part.csv").write_text(text)
+
+
+def test_years_are_read_by_name(spark, tmp_path):
+    """Another column order and a missing column in one year; any file name."""
+    from lendlens.sources.tables import load_years
+    _csv(tmp_path / "nc_2019.csv", "lei,action_taken,loan_amount\nA,1,100\n")
+    _csv(tmp_path / "nc_2020.csv", "lei,loan_amount,extra\nB,200,x\n")
+    rows = load_years(spark, str(tmp_path), [2019, 2020], pattern="{base}/nc_{year}.csv").orderBy("lei").collect()
+    assert [r.asDict() for r in rows] == [
+        {"lei": "A", "action_taken": "1", "loan_amount": "100", "year": 2019, "extra": None},
+        {"lei": "B", "action_taken": None, "loan_amount": "200", "year": 2020, "extra": "x"}]
+
+
+def test_files_of_one_source_must_agree_on_the_header(spark, tmp_path):
+    import pytest
+
+    from lendlens.sources.tables import read_csv_table
+    _csv(tmp_path / "t.csv", "a,b\n1,2\n")
+    (tmp_path / "t.csv" / "z.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_csv_table(spark, str(tmp_path / "t.csv")).collect()
