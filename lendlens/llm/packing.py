@@ -24,6 +24,7 @@ columns, the operator's own win.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -36,34 +37,55 @@ from lendlens.llm.common import cut, fresh, small, table
 
 CAP = 2048
 #: Distinct chunks of text that a worker remembers the ids of.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 SALTS = 64
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
+def byte_alphabet() -> list[str]:
+    """The printable character that byte-level tokenizers write for a byte:
+    itself if it is printable, else the next code point from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+
+
 class Encoder:
     """Packed little-endian ids of whole texts.
 
     The tokenizer neither merges nor normalises across white space, so ids are
     remembered per chunk between ASCII white space; punctuation after an ASCII
-    letter is a token run of its own, so it is looked up apart. Texts that
-    may hold a special token's string are encoded whole.
+    letter is a token run of its own, so it is looked up apart. A run of
+    letters below U+0180 (but U+0130) that is in normal form needs only lower
+    case and the byte alphabet, so it goes to the tokenizer's model directly.
+    Texts that may hold a special token's string are encoded whole.
     """
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.alphabet = byte_alphabet()
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.chunks: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        return b"".join([self.packed[i] for i in ids])
 
     def core(self, core: bytes) -> bytes:
         if core not in self.cores:
-            self.cores[core] = self.whole(core.decode())
+            text = core.decode()
+            if core.isascii() and text.isalpha():
+                known = text.lower()
+                self.cores[core] = b"".join([self.packed[t.id] for t in self.model.tokenize(known)])
+            elif text.isalpha() and max(text) < "\u0180" and "\u0130" not in text and unicodedata.is_normalized("NFC", text):
+                known = "".join(map(self.alphabet.__getitem__, text.lower().encode()))
+                self.cores[core] = b"".join([self.packed[t.id] for t in self.model.tokenize(known)])
+            else:
+                self.cores[core] = self.whole(text)
         return self.cores[core]
 
     def chunk(self, chunk: bytes) -> bytes:
