@@ -36,7 +36,7 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlens.llm.common import cut, shared_folder, small, table
@@ -79,26 +79,26 @@ def page_record(page: int | None, url: str | None, payload: bytes, owner: int |
     return _record(fields, block)
 
 
-def prepare(df: DataFrame, id_col: str, url_col: str, payload_col: str, min_revisit: int) -> DataFrame:
-    """page, url, payload, digest and ``owner`` (whom a revisit refers to)."""
+def prepare(df: DataFrame, id_col: str, url_col: str, payload_col: str, min_revisit: int) -> tuple[DataFrame, DataFrame]:
+    """Pages (page, url, payload, key), and marks (page, key, owner): the
+    revisits and whom they refer to, found without moving payloads."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary"))
     pages = df.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"), payload.alias("payload"))
-    pages = pages.withColumn("digest", F.when(F.length("payload") >= min_revisit, F.sha2("payload", 256)))
-    copies = pages.filter("digest is not null").groupBy("digest").agg(
-        F.max("page").alias("largest"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-        F.col("digest").alias("same"), "largest")
-    joined = pages.join(copies, F.col("digest") == F.col("same"), "left")
-    first = F.col("page").isNotNull() & (F.col("page") == F.col("largest"))
-    return joined.select("page", "url", "payload", F.when(~first, F.col("largest")).alias("owner"))
+    pages = pages.withColumn("key", F.sha2("payload", 256))
+    long_ones = pages.filter(F.length("payload") >= min_revisit).select("page", "key")
+    copies = long_ones.groupBy("key").agg(F.max("page").alias("owner"), F.count(F.lit(1)).alias("n")).filter(
+        "n > 1 AND owner IS NOT NULL").select("key", "owner")
+    marks = long_ones.join(copies, "key").filter("page IS NULL OR page <> owner")
+    return pages, marks.select("page", "key", "owner").distinct()
 
 
-def assign_shards(pages: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """``pages`` with ``shard``: ranges of id blocks by exact byte counts."""
+def shard_ranges(pages: DataFrame, shard_bytes: int) -> tuple[Column, DataFrame, int]:
+    """The id block of a page; each block's first shard and number of shards,
+    by exact byte counts; the number of all shards."""
     low, high = pages.agg(F.min("page"), F.max("page")).first()
     width = max(1, -(-((high or 0) - (low or 0) + 1) // ID_BLOCKS))
     block = F.coalesce(F.floor((F.col("page") - (low or 0)) / width).cast("int"), F.lit(-1))
-    pages = pages.withColumn("block", block)
-    rows = pages.groupBy("block").agg(F.sum(F.length("payload") + 400).alias("b")).orderBy("block").collect()
+    rows = pages.groupBy(block.alias("block")).agg(F.sum(F.length("payload") + 400).alias("b")).orderBy("block").collect()
     shards, shard, filled = [], 0, 0
     for r in rows:  # at most ID_BLOCKS + 1
         parts = -(-r["b"] // shard_bytes)
@@ -106,23 +106,30 @@ def assign_shards(pages: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
             shard, filled = shard + 1, 0
         shards.append((r["block"], shard, parts))
         shard, filled = (shard + parts, 0) if parts > 1 else (shard, filled + r["b"])
-    n = shard + bool(filled)
     ranges = pages.sparkSession.createDataFrame(shards, "in_block int, first int, parts bigint")
-    part = F.floor(F.conv(F.substring(F.sha1("payload"), 1, 6), 16, 10).cast("long") * F.col("parts") / (1 << 24))
-    return pages.join(small(ranges), F.col("block") == F.col("in_block")).select(
-        (F.col("first") + part).cast("int").alias("shard"), "page", "url", "payload", "owner"), max(n, 1)
+    return block, ranges, max(1, shard + bool(filled))
+
+
+def assign_shards(rows: DataFrame, block: Column, ranges: DataFrame) -> DataFrame:
+    part = F.floor(F.conv(F.substring("key", 1, 6), 16, 10).cast("long") * F.col("parts") / (1 << 24))
+    return rows.withColumn("block", block).join(small(ranges), F.col("block") == F.col("in_block")).select(
+        (F.col("first") + part).cast("int").alias("shard"), *rows.columns)
 
 
 def write_archive(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                   min_revisit: int = 1000, file_bytes: int = 64 << 20, shard_bytes: int = 128 << 20,
                   date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Write the archive and return its manifest."""
-    pages, n = assign_shards(prepare(df, id_col, url_col, payload_col, min_revisit), shard_bytes)
+    pages, marks = prepare(df, id_col, url_col, payload_col, min_revisit)
+    block, ranges, n = shard_ranges(pages, shard_bytes)
+    none = F.lit(None)
+    rows = assign_shards(pages, block, ranges).withColumn("owner", none.cast("long")).unionByName(
+        assign_shards(marks, block, ranges).withColumns({"url": none.cast("string"), "payload": none.cast("binary")}))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = open_store(folder)
         here = f"{root}/_temporary/{uuid.uuid4().hex}"
-        out, done, current = None, [], None
+        out, done, current, mark = None, [], None, (None, None, None)
 
         def begin(shard: int, seq: int) -> None:
             nonlocal out, current
@@ -144,7 +151,12 @@ def write_archive(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
             done.append({**current, "sha256": current["sha256"].hexdigest()})
 
         for batch in batches:
-            for shard, page, url, payload, owner in zip(*[batch[c] for c in ("shard", "page", "url", "payload", "owner")], strict=True):
+            for shard, page, key, url, payload, owner in zip(*[batch[c] for c in (
+                    "shard", "page", "key", "url", "payload", "owner")], strict=True):
+                page = None if pd.isna(page) else int(page)
+                if payload is None:  # a mark comes before the pages that it is about
+                    mark = (page, key, int(owner))
+                    continue
                 if current is None or current["shard"] != shard:
                     if current is not None:
                         end()
@@ -152,7 +164,7 @@ def write_archive(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
                 elif current["bytes"] >= file_bytes:
                     end()
                     begin(int(shard), current["seq"] + 1)
-                put(page_record(None if pd.isna(page) else int(page), url, bytes(payload), None if pd.isna(owner) else int(owner), date))
+                put(page_record(page, url, bytes(payload), mark[2] if mark[:2] == (page, key) else None, date))
                 current["records"] += 1
         if current is not None:
             end()
@@ -170,7 +182,7 @@ def write_archive(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
                     raise OSError(f"{final} is not the file that was written")
             yield batch
 
-    ordered = pages.repartition(n, "shard").sortWithinPartitions("shard", "page", F.sha1("payload"), "url", "owner")
+    ordered = rows.repartition(n, "shard").sortWithinPartitions("shard", "page", "key", F.col("owner").asc_nulls_last(), "url")
     files = cut(ordered.mapInPandas(write, FILES), "warc-files")
     moved = files.mapInPandas(move, FILES).drop("temporary").coalesce(1)
     spark = df.sparkSession
