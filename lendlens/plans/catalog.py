@@ -869,6 +869,9 @@ def q_reduce_categories(spark, sf):
 # Trained models (rows-only checks: results depend on Spark ML internals)
 # ==========================================================================
 _MODELS: dict = {}
+# Trees and depth that the registered queries train with; the operator's
+# defaults (400 or 500 trees) take minutes at the smallest scale (README).
+QUERY_TREES = {"rf": (20, 10), "fair": (20, 10), "gbt": (20, 6)}
 
 
 def trained(spark, sf, kind: str):
@@ -876,7 +879,8 @@ def trained(spark, sf, kind: str):
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _MODELS:
         from lendlens.ml.train import train_approval_model
-        _MODELS[key] = train_approval_model(_model(spark, sf), kind=kind)
+        trees, depth = QUERY_TREES[kind]
+        _MODELS[key] = train_approval_model(_model(spark, sf), kind=kind, num_trees=trees, max_depth=depth)
     return _MODELS[key]
 
 
@@ -899,7 +903,7 @@ def q_feature_importance(spark, sf):
 
 @register("select_features")
 def q_select_features(spark, sf):
-    return hmda.select_features_from(_apps(spark, sf))[0]
+    return hmda.select_features_from(_apps(spark, sf), max_iter=100)[0]  # the operator allows 3000
 
 
 @register("stratified_split", _model_features_sql() + """,
