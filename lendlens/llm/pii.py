@@ -2,8 +2,9 @@
 
 DataFrame functions only. Seeds are the spans of four base patterns (email,
 ip, card, phone) that pass their checks. Every other token with a digit or an
-``@`` is an instance, known by its value; its shape (digit runs become 9,
-letter runs a) joined to the one or two words before it is a lexical pattern.
+``@`` is an instance, known by its value; its coarse shape (an ``@``; else
+whether it has letters, and up to 6, 7 to 12 or more digits) joined to the one
+or two words before it is a lexical pattern.
 Patterns and instances form a bipartite graph per kind, scored in rounds:
 
     confidence(pattern, kind) = sum of instance scores / (instances + 1)
@@ -72,7 +73,7 @@ def _passes(kind: str, m: Column) -> Column:
         return F.forall(parts, lambda p: (F.length(p) < 3) | ((F.length(p) == 3) & (p <= "255")))
     n = F.length(_digits(m))
     if kind == "card":
-        return F.when(n.between(13, 19), _luhn(_digits(m))).otherwise(False)
+        return F.when(n.between(13, 19), _luhn(_digits(m)))  # null: too few or many digits for any card
     return n.between(9, 15) if kind == "phone" else F.lit(True)
 
 
@@ -121,7 +122,8 @@ def _marked_spans(text: Column, pattern: str, kind: int, context: bool) -> Colum
 
 
 def matches(text: Column, kind: str) -> Column:
-    """All matches of one kind in order of place; ``ok``: the check passes."""
+    """All matches of one kind in order of place; ``ok``: the check passes
+    (null: the match is no number of that kind at all)."""
     found = F.transform(_marked_spans(text, PATTERNS[kind], KINDS.index(kind), context=True),
                         lambda s: s.withField("ok", _passes(kind, s["value"])))
     possible = text.contains(NEEDS[kind]) if kind in NEEDS else text.rlike("[0-9]")
@@ -143,14 +145,16 @@ def annotate(df: DataFrame, text_col: str, names: tuple[str, str, str], keep_tex
     found = found.withColumn(base, F.filter(m, lambda s: s["ok"]))
     token = F.when(F.col(t).rlike("[0-9@]"), _marked_spans(F.col(t), TOKEN, -1, context=True))
     free = F.transform(F.filter(token, lambda s: ~_overlaps(s, F.col(base))),
-                       lambda s: s.withField("ok", ~_overlaps(s, F.col(m))))
+                       lambda s: s.withField("ok", ~_overlaps(s, F.filter(m, lambda x: ~x["ok"]))))
     found = found.withColumn(others, F.coalesce(free, none)).drop(t, m)
     found = found.withColumn(row, F.monotonically_increasing_id())
     return cut(found if keep_text else found.drop(text_col), "pii")
 
 
 def _shape(value: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(value, "[0-9]+", "9"), r"\p{L}+", "a")
+    n = F.length(_digits(value))
+    size = F.when(n < 7, "0-6").when(n < 13, "7-12").otherwise("13-")
+    return F.when(value.contains("@"), "@").otherwise(F.concat(F.when(value.rlike(r"\p{L}"), "a").otherwise(""), size))
 
 
 def _instances(annotated: DataFrame, row: str, col: str) -> DataFrame:
@@ -202,7 +206,7 @@ def bootstrap(seeds: DataFrame, others: DataFrame, rounds: int, min_seeds: int,
 
 
 def find_pii(df: DataFrame, text_col: str = "text", out: str = "pii", rounds: int = 3, min_seeds: int = 3,
-             min_confidence: float = 0.5, keep_text: bool = True) -> DataFrame:
+             min_confidence: float = 0.7, keep_text: bool = True) -> DataFrame:
     """``df`` with ``out``: array of (kind, start, end, value, base) by kind,
     then place."""
     row, base, others, o = fresh(df, "pii_row", "pii_base", "pii_others", out)

@@ -7,7 +7,8 @@ The reference is the corpus itself, so its automata cannot be broadcast whole;
 the corpus is dealt to shards such that equal windows meet in one shard:
 
 1. Copies of a text are one row with a weight, in a table bucketed by the
-   text's hash; later joins on that key move no text.
+   text's hash; later joins on that key move no text. All windows of a text
+   with copies are repeated.
 2. The anchor of a window is the leftmost smallest of its ``GRAM``-word
    hashes: equal windows have equal anchors. Windows with one anchor in a row
    form a segment; only anchors that occur twice or more are followed.
@@ -41,12 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import cut, drop, fresh, small, table
+from lendlens.llm.common import cut, drop, fresh, per_text, small, table
 
 GRAM = 8
 #: Windows whose anchors are sought at once, and words of a shard's automaton
 #: after which the next anchor begins a new one.
 WINDOWS_AT_ONCE, SHARD_WORDS = 1 << 16, 50_000
+#: Texts whose segments a task holds at once.
+TEXTS_AT_ONCE = 200
 KEY = ["k1", "k2"]
 
 
@@ -114,11 +117,11 @@ class SuffixAutomaton:
         return starts
 
 
-def anchors(tokens: list[bytes], window: int) -> list[tuple[int, int, int]]:
-    """(anchor hash, first, last window start) of the text's segments."""
+def anchors(tokens: list[bytes], window: int) -> tuple[list[int], list[int], list[int]]:
+    """Anchor hashes, first and last window starts of the text's segments."""
     n = len(tokens) - window + 1
     if n <= 0:
-        return []
+        return [], [], []
     gram = min(GRAM, window)
     word = np.fromiter(map(zlib.crc32, tokens), np.uint64, len(tokens))
     g = np.zeros(len(word) - gram + 1, np.uint64)
@@ -133,7 +136,7 @@ def anchors(tokens: list[bytes], window: int) -> list[tuple[int, int, int]]:
             g[k : k + WINDOWS_AT_ONCE + wide - 1], wide).argmin(1) for k in range(0, n, WINDOWS_AT_ONCE)])
     first = np.nonzero(np.append(True, at[1:] != at[:-1]))[0]
     last = np.append(first[1:], n) - 1
-    return list(zip(g[at[first]].view(np.int64).tolist(), first.tolist(), last.tolist(), strict=True))
+    return g[at[first]].view(np.int64).tolist(), first.tolist(), last.tolist()
 
 
 def _hash2(data: bytes) -> tuple[int, int]:
@@ -156,30 +159,49 @@ def _through_shards(parts: DataFrame, window: int, by: list[str]) -> DataFrame:
     """(s1, s2, runs) of the segments that hold repeated windows. ``parts``:
     ``by``, s1, s2, seg, weight; rows of equal ``by`` share an automaton."""
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard: list[tuple] = []
-        size, last = 0, None
-
-        def judged() -> pd.DataFrame:
-            automaton, number, out = SuffixAutomaton(), {}, []
+        shard, same, size, last, out = [], [], 0, None, []
+
+        def close() -> None:
+            """Rows of equal ``by`` are complete. A segment of weight 2 repeats
+            all its windows; it is a reference only where others are asked for."""
+            nonlocal size
+            alone = [s for s in same if s[3] < 2]
+            out.extend((s1, s2, [[0, bytes(seg).count(b" ") + 1 - window]]) for s1, s2, seg, weight in same if weight > 1)
+            if alone and len(same) > 1:
+                shard.extend(same)
+                size += sum(bytes(s[2]).count(b" ") + 1 for s in same)
+            same.clear()
+
+        def judge() -> None:
+            nonlocal size
+            automaton, number = SuffixAutomaton(), {}
             coded = [[number.setdefault(w, len(number)) for w in bytes(seg).split(b" ")] for _, _, seg, _ in shard]
             for ids, (*_, weight) in zip(coded, shard, strict=True):
                 automaton.add(ids, weight)
             automaton.finish()
-            for ids, (s1, s2, _, _) in zip(coded, shard, strict=True):
-                if starts := automaton.repeated(ids, window):
+            for ids, (s1, s2, _, weight) in zip(coded, shard, strict=True):
+                if weight < 2 and (starts := automaton.repeated(ids, window)):
                     out.append((s1, s2, _runs(starts)))
-            return pd.DataFrame(out, columns=["s1", "s2", "runs"])
+            shard.clear()
+            size = 0
+
+        def ready() -> pd.DataFrame:
+            made = pd.DataFrame(out, columns=["s1", "s2", "runs"])
+            out.clear()
+            return made
 
         for batch in batches:
             for *key, s1, s2, seg, weight in zip(*[batch[c] for c in (*by, "s1", "s2", "seg", "weight")], strict=True):
-                if size >= SHARD_WORDS and key != last:
-                    yield judged()
-                    shard, size = [], 0
+                if key != last:
+                    close()
+                    if size >= SHARD_WORDS:
+                        judge()
                 last = key
-                shard.append((s1, s2, seg, int(weight)))
-                size += bytes(seg).count(b" ") + 1
-        if shard:
-            yield judged()
+                same.append((s1, s2, seg, int(weight)))
+            yield ready()
+        close()
+        judge()
+        yield ready()
 
     n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return parts.repartition(n, *by).sortWithinPartitions(*by, "s1", "s2").mapInPandas(
@@ -237,32 +259,31 @@ def substring_dedup(df: DataFrame, text_col: str = "text", window: int = 35, hot
     distinct.write.option("compression", "zstd").bucketBy(n, *KEY).sortBy(*KEY).saveAsTable(name)
     texts = spark.table(name)
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(h, a, b, *key) for *key, text, weight in zip(*[batch[c] for c in (*KEY, "text", "weight")], strict=True)
-                    for h, a, b in anchors(_words_of(text), window)]
-            yield pd.DataFrame(rows, columns=["h", "a", "b", *KEY])
-
-    marks = cut(texts.mapInPandas(mark, "h bigint, a int, b int, k1 bigint, k2 bigint"), "anchors")
-    heavy = texts.filter("weight > 1").select(*KEY)
+    found = texts.select(*KEY, per_text(lambda s: anchors(_words_of(s), window), "h array<bigint>, a array<int>, b array<int>")(
+        F.col("text")).alias("f"))
+    marks = cut(found, "anchors").select(*KEY, F.explode(F.arrays_zip("f.h", "f.a", "f.b")).alias("m")).select(*KEY, "m.h", "m.a", "m.b")
     often = marks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     followed = marks.join(often, "h", "left_semi")
-    # a text with copies repeats all its windows: its anchors are followed too
-    followed = followed.unionByName(marks.join(heavy, KEY, "left_semi")).distinct()
-    per_text = followed.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("a", "b", "h"))).alias("marks"))
+    # a text with copies repeats all its windows: no anchor needs to say so
+    listed = followed.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("a", "b", "h"))).alias("m")).select(
+        *KEY, F.col("m.h").alias("h"), F.col("m.a").alias("a"), F.col("m.b").alias("b"))
 
     def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for *key, text, weight, found in zip(*[batch[c] for c in (*KEY, "text", "weight", "marks")], strict=True):
-                tokens, rows = _words_of(text), []
-                for m in found:
-                    seg = b" ".join(tokens[m["a"] : m["b"] + window])
-                    rows.append((m["h"], *_hash2(seg), *key, m["a"], seg, weight))
-                yield pd.DataFrame(rows, columns=["h", "s1", "s2", *KEY, "a", "seg", "weight"])
-
-    segments = cut(texts.join(per_text, KEY).mapInPandas(
+        for batch in (whole.iloc[k : k + TEXTS_AT_ONCE] for whole in batches for k in range(0, len(whole), TEXTS_AT_ONCE)):
+            segs, owner = [], np.repeat(np.arange(len(batch)), batch["h"].map(len))
+            for text, firsts, lasts in zip(batch["text"], batch["a"], batch["b"], strict=True):
+                tokens = _words_of(text)
+                segs += [b" ".join(tokens[a : b + window]) for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True)]
+            if not segs:
+                continue
+            both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, segs)), np.int64).reshape(-1, 2)
+            yield pd.DataFrame({
+                "h": np.concatenate(batch["h"].to_list()), "s1": both[:, 0], "s2": both[:, 1], "k1": batch["k1"].to_numpy()[owner],
+                "k2": batch["k2"].to_numpy()[owner], "a": np.concatenate(batch["a"].to_list()), "seg": segs,
+                "weight": batch["weight"].to_numpy()[owner]})
+
+    segments = cut(texts.join(listed, KEY).mapInPandas(
         segment, "h bigint, s1 bigint, s2 bigint, k1 bigint, k2 bigint, a int, seg binary, weight bigint"), "segments")
-    drop(marks)
     runs = cut(repeated_windows(segments, window, hot), "repeated")
     spans = segments.select(*KEY, "a", "s1", "s2").join(runs, ["s1", "s2"]).select(*KEY, F.explode(F.transform(
         "runs", lambda r: F.array(r[0] + F.col("a"), r[1] + F.col("a") + window))).alias("span"))
@@ -271,9 +292,11 @@ def substring_dedup(df: DataFrame, text_col: str = "text", window: int = 35, hot
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for *key, text, found in zip(*[batch[c] for c in (*KEY, "text", "spans")], strict=True):
+            for *key, text, weight, found in zip(*[batch[c] for c in (*KEY, "text", "weight", "spans")], strict=True):
                 tokens = _words_of(text)
                 gone = np.zeros(len(tokens) + 1, np.int64)
+                if weight > 1 and len(tokens) >= window:
+                    found = [(0, len(tokens))]
                 for a, b in (() if found is None else found):
                     gone[a] += 1
                     gone[b] -= 1

@@ -70,7 +70,7 @@ def test_patterns_discover_unseen_identifiers(spark):
     out = {r["doc_id"]: r["pii"] for r in find_pii(spark.createDataFrame(rows, cases.SCHEMA)).collect()}
     new = {i: [(KINDS[s["kind"]], s["value"]) for s in p if not s["base"]] for i, p in out.items()}
     assert new[300] == [("email", "someone77@intranet")] and not new[301]
-    assert not new[400] and not new[102]
+    assert new[100] == [("phone", "555-77123")] and not new[400] and not new[102]
 
 
 def test_redaction(spark):

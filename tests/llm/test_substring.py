@@ -32,7 +32,7 @@ def test_each_window_has_one_anchor_by_content():
     for _ in range(30):
         tokens = [b"%d" % rng.randint(0, 3) for _ in range(rng.randint(1, 90))]
         starts = []
-        for h, a, b in anchors(tokens, 12):
+        for h, a, b in zip(*anchors(tokens, 12), strict=True):
             for k in range(a, b + 1):
                 starts.append(k)
                 assert by_window.setdefault(tuple(tokens[k : k + 12]), h) == h

@@ -38,7 +38,7 @@ def test_same_rows_same_files(spark):
     made = []
     for n in (1, 5):
         folder = shared_folder(spark, "warc")
-        manifest = write_archive(df.repartition(n), folder, file_bytes=50_000, shard_bytes=200_000)
+        manifest = write_archive(df.repartition(n), folder, file_bytes=15_000, shard_bytes=100_000)
         made.append(sorted((r["name"], r["bytes"], r["records"], r["sha256"]) for r in manifest.collect()))
         back = read_archive(spark, folder, with_payload=True)
         assert back.join(df, (back["page"] == df["page_id"]) & (back["payload"].cast("string") == df["html"])).count() == df.count()
