@@ -5,8 +5,10 @@ with the same word in a template. The block is compressed alone and with the
 template as a raw zstandard dictionary; templates are ranked by how much the
 dictionary saves. From the best on, a winner is confirmed by its exact wording
 differences: word by word, at most ``max_difference`` of the template's words
-may differ, none in templates of up to ``SHORT`` words. Winners that overlap a
-better one are dropped.
+may differ, none in templates of up to ``SHORT`` words. No word that decides
+the license (``DECIDING``: family, version, or-later, what is granted) may be
+missing or changed, and none of ``OTHERWISE`` may be added. Winners that
+overlap a better one are dropped.
 
 Words are runs of letters and digits, with single dots or hyphens inside,
 compared in lower case. Positions are code points, end exclusive.
@@ -73,10 +75,60 @@ granted, provided that the above copyright notice and this permission notice app
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("all-rights-reserved", "All rights reserved."),
+    *[(f"{short}-{version}-or-later", f"""This {what} is free software{mark} you can redistribute it and/or modify it under the terms of
+the GNU {family} Public License as published by the Free Software Foundation{comma} either version {version[:3].removesuffix(".0")} of the License, or (at your
+option) any later version.""") for short, family, version, what, mark, comma in [
+        ("AGPL", "Affero General", "3.0", "program", ":", ","), ("LGPL", "Lesser General", "3.0", "library", ":", ","),
+        ("LGPL", "Lesser General", "3.0", "program", ":", ","), ("LGPL", "Lesser General", "2.1", "library", ";", ";"),
+        ("LGPL", "Library General", "2.0", "library", ";", ";")]],
+    ("GPL-2.0-only", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+Public License version 2 as published by the Free Software Foundation."""),
+    ("GPL-3.0-only", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+Public License version 3 as published by the Free Software Foundation."""),
+]
+_OF = dict(reversed([t for t in TEMPLATES if len(t[1]) > 150]))
+_AS_IS = """IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY,
+OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF
+SUCH DAMAGE."""
+_BSD_END = f"""THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. {_AS_IS}"""
+_ADVERTISING = """3. All advertising materials mentioning features or use of this software must display the following acknowledgement:
+This product includes software developed by the organization. 4."""
+# the whole texts
+TEMPLATES += [
+    ("MIT", _OF["MIT"] + """ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("ISC", _OF["ISC"] + """ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("BSD-2-Clause", f"{_OF['BSD-2-Clause']} {_BSD_END}"),
+    *[(name, f"{_OF['BSD-2-Clause']} {more} {_OF['BSD-3-Clause']}{end}") for name, more in (
+        ("BSD-3-Clause", "3."), ("BSD-4-Clause", _ADVERTISING)) for end in ("", f" {_BSD_END}")],
 ]
 # Words that a notice can hardly do without.
 TRIGGERS = frozenset(["license", "licensed", "licenses", "copyright", "permission", "redistribution", "rights", "unencumbered",
                       "redistribute", "waived"])
+# Words of a license's templates that decide which license it is, or what it grants.
+DECIDING = {
+    "MIT": "permission granted without restriction use copy modify merge publish distribute sublicense sell",
+    "ISC": "permission use copy modify distribute any without fee",
+    "BSD-2-Clause": "redistribution source binary without modification permitted conditions",
+    "BSD-3-Clause": "redistribution source binary without modification permitted conditions neither endorse promote",
+    "BSD-4-Clause": "redistribution source binary without modification permitted conditions advertising acknowledgement neither endorse promote",
+    "Apache-2.0": "apache 2.0 license-2.0", "MPL-2.0": "mozilla mpl 2.0", "CC0-1.0": "extent waived all copyright related rights",
+    **{f"{n}-or-later": f"gnu {w} general public either {v} any later" for n, w, v in [
+        ("GPL-3.0", "", "3"), ("GPL-2.0", "", "2"), ("AGPL-3.0", "affero", "3"), ("LGPL-3.0", "lesser", "3"),
+        ("LGPL-2.1", "lesser", "2.1"), ("LGPL-2.0", "library", "2")]},
+    **{f"GPL-{v}.0-only": f"gnu general public {v}" for v in "23"},
+}
+# Words whose addition makes another license, or takes back what is granted.
+OTHERWISE = frozenset(["affero", "lesser", "library", "later", "only", "not", "no", "except", "commercial", "noncommercial",
+                       "non-commercial", "sharealike", "noderivatives", "academic", "educational", "advertising"])
 SHORT = 14
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
@@ -94,12 +146,25 @@ class Scanner:
                 if w in TRIGGERS:
                     self.lined_up[w].append((i, k))
 
-    def differences(self, template: list[str], block: list[str]) -> list[str]:
-        out = []
-        for op, a, b, c, d in SequenceMatcher(None, template, block, autojunk=False).get_opcodes():
+    def differences(self, template: list[str], block: list[str]) -> tuple[list[str], int]:
+        """Differing words, and the words of ``block`` up to its last that
+        is part of the notice."""
+        out, codes, size = [], SequenceMatcher(None, template, block, autojunk=False).get_opcodes(), len(block)
+        if codes and codes[-1][0] == "insert":
+            size = codes.pop()[3]
+        elif codes and codes[-1][0] == "replace":  # no more words than the template's
+            op, a, b, c, d = codes.pop()
+            size = min(d, c + b - a)
+            codes.append((op, a, b, c, size))
+        for op, a, b, c, d in codes:
             if op != "equal":
                 out += [f"{x}>{y}" for x, y in zip([*template[a:b], *[""] * (d - c - b + a)], [*block[c:d], *[""] * (b - a - d + c)], strict=True)]
-        return out
+        return out, size
+
+    def decides(self, name: str, differ: list[str]) -> bool:
+        """Whether a difference makes it another license."""
+        deciding = DECIDING.get(name, "").split()
+        return any(x in deciding or y in OTHERWISE for x, y in (d.split(">") for d in differ))
 
     def scan(self, text: str | None) -> list[tuple]:
         """(license, start, end, saving, differences) by place."""
@@ -124,8 +189,12 @@ class Scanner:
             end = min(end, len(tokens))
             if any(a < end and begin < b for a, b in taken):
                 continue
-            differ = self.differences(template, tokens[begin:end])
-            if len(differ) <= (0 if len(template) <= SHORT else self.max_difference * len(template)):
+            most = 0 if len(template) <= SHORT else int(self.max_difference * len(template))
+            # added words move the notice's end on
+            after = min([len(tokens), end + most, *[a for a, _ in taken if a >= end]])
+            differ, size = self.differences(template, tokens[begin:after])
+            end = begin + size
+            if len(differ) <= most and not self.decides(name, differ):
                 taken.append((begin, end))
                 out.append((name, found[begin][1], found[end - 1][2], round(saving, 4), differ))
         return sorted(out, key=lambda x: x[1:3])
