@@ -2,20 +2,24 @@
 
 DataFrame functions only. Seeds are the spans of four base patterns (email,
 ip, card, phone) that pass their checks. Every other token with a digit or an
-``@`` is an instance, known by its value; its coarse shape (an ``@``; else
-whether it has letters, and up to 6, 7 to 12 or more digits) joined to the one
-or two words before it is a lexical pattern.
+``@`` is an instance, known by its value; adjacent tokens of digits that are
+joined by blanks, as in phone and card seeds, are one instance. Its coarse shape
+(an ``@``; else whether it has letters, and up to 6, 7 to 12 or more digits)
+joined to the one or two words before it is a lexical pattern.
 Patterns and instances form a bipartite graph per kind, scored in rounds:
 
-    confidence(pattern, kind) = sum of instance scores / (instances + 1)
+    confidence(pattern, kind) = (seeds of the kind + sum of instance scores)
+                                / (all seeds + instances + 1)
     score(instance, kind) = 1 - product over patterns of (1 - confidence)
 
 Seeds keep score 1 for their kind and 0 for others. A token inside a match
 that failed its check (a number that fails the Luhn test, say) is a known
-negative: it weighs against its patterns and is never discovered. Only patterns that have
-``min_seeds`` distinct seeds and reach ``min_confidence`` pass scores on and,
-after the last round, discover: an instance of such a pattern becomes a span
-of that kind. Base spans always stay; discovered ones never overlap them.
+negative: it weighs against its patterns and is never discovered. Other
+instances carry the partial score of their patterns from the first round on.
+Only patterns that have ``min_seeds`` distinct seeds pass scores on; those that
+reach ``min_confidence`` in the last round discover: an instance of such a
+pattern becomes a span of that kind. Base spans always stay; discovered ones
+never overlap them.
 
 Positions are code points. A base pattern's matches are marked with a
 character that no pattern accepts, the text is split at the marks, and the
@@ -48,8 +52,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "phone": "+"}
-# a whitespace-delimited token with a digit or @, tried from its start only
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+# a token of digits (no IP address) that only closing punctuation may follow
+DIGITS = (r"(?![0-9]++\.[0-9]++\.[0-9]++\.[0-9])[0-9](?:[().-]*+[0-9])*+\)?+"
+          r"(?=[\p{P}&&[^@]]*+(?![^\x20\x09-\x0D]))")
+# such tokens joined by blanks, or a whitespace-delimited token with a digit or @; tried from a token's start only
+TOKEN = (r"(?<![^\x20\x09-\x0D])(?:[\p{P}&&[^@]]*+\+?+" + DIGITS + r"(?:\x20++(?:-\x20++)?+\(?+" + DIGITS + r")++"
+         r"|[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)")
 BLOCK = 256
 #: Code points before an instance that its context words are sought in.
 CONTEXT = 64
@@ -197,8 +205,7 @@ def bootstrap(seeds: DataFrame, others: DataFrame, rounds: int, min_seeds: int,
         confident = cut(gained.select("pattern", "kind", (
             (F.col("seeds") + F.col("gain")) / (F.col("all_seeds") + F.col("instances") + 1)).alias("confidence")), "confidence")
         # 1 - product(1 - confidence), as a sum of logarithms
-        passing = confident.filter(F.col("confidence") >= min_confidence)
-        scores = graph.filter("ok").join(passing, "pattern").groupBy("value", "kind").agg(
+        scores = graph.filter("ok").join(confident, "pattern").groupBy("value", "kind").agg(
             (1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999999)))))).alias("score"))
     best = F.max_by("kind", F.struct("confidence", -F.col("kind")))
     drop(able)

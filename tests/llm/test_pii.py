@@ -84,3 +84,21 @@ def test_awkward_rows(spark):
     rows = find_pii(df).collect()
     assert len(rows) == df.count() and all(r["pii"] == "own pii" and r["pii_"] is not None for r in rows)
     assert find_pii(cases.empty(spark)).count() == 0
+
+
+def test_identifiers_written_with_blanks_and_many_unseen_instances(spark):
+    rows = [(k, f"office {k % 7} phone: +44 20 7946 {1000 + k} today", "en", "a", 0) for k in range(10)]
+    unseen = ["020 7946 0958", "01632960 983", "(020) 7946 0959", "020 - 7946 0957", "020-7946-0956", "0207946 0955"]
+    rows += [(100 + k, f"office phone: {v}, today", "en", "a", 0) for k, v in enumerate(unseen)]
+    rows += [(200, "office phone: 020 7946 0951abc", "en", "a", 0), (201, "in 2019, 2020 and 020 7946 0958", "en", "a", 0),
+             (202, "server 10.0.0.1 8080 up", "en", "a", 0), (203, "1 " * 5000, "en", "a", 0)]
+    # three seeds among many instances are no evidence
+    rows += [(300 + k, f"order code +44 20 7946 {2000 + k} sent", "en", "a", 0) for k in range(3)]
+    rows += [(400 + k, f"order code {7000000 + k} sent", "en", "a", 0) for k in range(60)]
+    df = find_pii(spark.createDataFrame(rows, cases.SCHEMA)).select("doc_id", "pii", redact(F.col("text"), F.col("pii")).alias("clean"))
+    out = {r["doc_id"]: r for r in df.collect()}
+    for k in range(len(unseen)):
+        assert out[100 + k]["clean"] == "office phone: <PHONE>, today", (unseen[k], out[100 + k])
+    assert "7946" not in out[200]["clean"] or out[200]["clean"].endswith("0951abc")
+    assert out[201]["clean"] == "in 2019, 2020 and 020 7946 0958" and out[202]["clean"] == "server <IP> 8080 up"
+    assert not any(out[400 + k]["pii"] for k in range(60))
