@@ -43,6 +43,8 @@ BITS = 64
 #: Costs of the plan choice: a shuffled probe row against one comparison.
 ROW_COST, PAIR_COST = 1.0, 0.02
 HASHES_AT_ONCE = 1 << 16
+#: No part is probed with more values than this by one fingerprint.
+MOST_PROBES = 4096
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -107,6 +109,8 @@ def allot(widths: list[int], n: int, same: list[float], distance: int) -> tuple[
     more as there are ways to flip."""
     def cost(i: int, t: int) -> float:
         probes = sum(comb(widths[i], k) for k in range(t + 1))
+        if probes > MOST_PROBES:
+            return float("inf")
         return 0.0 if t < 0 else n * (probes + 1) * ROW_COST + same[i] * probes * PAIR_COST
 
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
@@ -122,8 +126,12 @@ def allot(widths: list[int], n: int, same: list[float], distance: int) -> tuple[
 
 
 def choose_parts(nodes: DataFrame, col: str, distance: int) -> list[tuple[int, int]]:
-    """(bit mask, threshold) of each part in use."""
+    """(bit mask, threshold) of each part in use; none for fewer than two
+    fingerprints. ``distance + 1`` parts of threshold 0 always stay within
+    ``MOST_PROBES``, so a plan is always found."""
     n, p, corr = bit_statistics(nodes, col)
+    if n < 2:
+        return []
     agree = p * p + (1 - p) * (1 - p)
     plans = []
     for parts in range(1, distance + 2):
@@ -155,6 +163,8 @@ def links(nodes: DataFrame, col: str, distance: int) -> DataFrame:
     apart, each once."""
     parts = choose_parts(nodes, col, distance)
     v = F.col(col)
+    if not parts:
+        return nodes.select(v.alias("a"), v.alias("b")).filter(F.lit(False))
     stored = nodes.select(v.alias("b"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("part"), v.bitwiseAND(_long(m)).alias("key")) for i, (m, _) in enumerate(parts)
     ])).alias("x")).select("b", "x.part", "x.key")

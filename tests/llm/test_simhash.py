@@ -106,3 +106,26 @@ def test_part_choice_grows_finer_keys(spark):
     nodes = spark.createDataFrame([(int(v),) for v in np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 500)], "node long")
     parts = simhash.choose_parts(nodes, "node", 4)
     assert sum(t + 1 for _, t in parts) == 5
+
+
+def test_plans_stay_small():
+    """Whatever the size, a fingerprint probes a part with few values."""
+    from math import comb
+    rng = np.random.default_rng(3)
+    corr = rng.random((64, 64))
+    for n in (0, 1, 2, 1000, 10**9):
+        for parts in range(1, 6):
+            groups = group_bits(corr, parts)
+            cost, ts = allot([len(g) for g in groups], n, [n * n / 2 / 2 ** len(g) for g in groups], 4)
+            if cost < float("inf"):
+                assert sum(t + 1 for t in ts) == 5
+                assert all(sum(comb(len(g), k) for k in range(t + 1)) <= simhash.MOST_PROBES for g, t in zip(groups, ts, strict=True))
+        assert cost < float("inf")  # five parts
+
+
+def test_tiny_tables(spark):
+    for n in (0, 1, 2):
+        rows = [(i, "same words in this text", "en", "a", 0) for i in range(n)]
+        df = spark.createDataFrame(rows, cases.SCHEMA)
+        assert {r["component"] for r in simhash_groups(df).collect()} == ({0} if n else set())
+        assert simhash_dedup(df).count() == min(n, 1)
