@@ -18,12 +18,20 @@ from pyspark.sql import functions as F
 
 from lendlens.session import ensure_checkpoint_dir, ship_package
 
+#: Most bytes of one batch that Spark hands to a Python function, where the
+#: session does not say: a worker holds a batch as Python objects, several times
+#: its size, and six workers share a machine with the JVM.
+BATCH_BYTES = 4 * 1024 * 1024
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Broadcast a lookup side only up to this many rows (counted first).
 BROADCAST_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
