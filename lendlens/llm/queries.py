@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from lendlens.llm.conversations import op11_conversation_repair
 from lendlens.llm.decontaminate import OP7_SQL, op7_decontamination
+from lendlens.llm.fim import OP12_SQL, op12_fill_in_middle
 from lendlens.llm.langid import op3_language_id
 from lendlens.llm.licenses import op2_license_scan
 from lendlens.llm.lm import op4_lm_scores
@@ -30,6 +32,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_fill_in_middle": op12_fill_in_middle,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
+ORACLES: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL,
+                           "op12_fill_in_middle": OP12_SQL}
