@@ -8,6 +8,7 @@ from lendlens.llm.fim import OP12_SQL, op12_fill_in_middle
 from lendlens.llm.langid import op3_language_id
 from lendlens.llm.licenses import op2_license_scan
 from lendlens.llm.lm import op4_lm_scores
+from lendlens.llm.oddsketch import op13_odd_sketch
 from lendlens.llm.packing import op8_packing
 from lendlens.llm.pii import op1_pii
 from lendlens.llm.quality import op10_quality_rules
@@ -34,6 +35,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_odd_sketch": op13_odd_sketch,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL,
