@@ -90,8 +90,19 @@ def materialize(df, label: str = "table"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     root = base.rsplit("/", 1)[0] if "/" in base else base
     path = f"{root}/lendlens-tables/{label}-{uuid.uuid4().hex[:12]}"
+    ship_package(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def discard(df) -> None:
+    """Delete a table made by ``materialize`` that no later plan reads."""
+    path, spark = getattr(df, "_written_path", None), df.sparkSession
+    if path:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def ship_package(spark: SparkSession) -> None:
