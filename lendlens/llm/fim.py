@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from lendlens.llm.common import fresh, table
 
 #: Bytes of text that are displaced together.
-SLICE = 1 << 20
+SLICE = 1 << 18
 MARKS = {"P": b"<P>", "S": b"<S>", "M": b"<M>"}
 #: Order of the pieces in an output; the numbers are P, S and M as below.
 ORDERS = {"psm": (0, 1, 2), "spm": (1, 0, 2)}
@@ -190,18 +190,24 @@ def restore_batch(outputs: pa.Array, forms: pa.Array) -> pa.Array:
 
 
 def fill_in_middle(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "fim", seed: int = 1,
-                   plain_from: int = 90, spm_below: int = 20) -> DataFrame:
+                   plain_from: int = 90, spm_below: int = 20, restore: bool = False) -> DataFrame:
     """``df`` with a struct column ``out``: units ``n``, ``form``, the lengths
     ``prefix_chars`` and ``middle_chars`` (null if plain) and the new ``text``.
     Of a hundred draws those from ``plain_from`` on are plain; of the others
-    those below ``spm_below`` in a hundred have the suffix first."""
+    those below ``spm_below`` in a hundred have the suffix first. With
+    ``restore`` a further field ``restored`` holds the text gathered back from
+    ``text`` and ``form`` by the same worker, as :func:`restored` does."""
     (o,) = fresh(df, out)
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for ids, texts in batches:
-            yield transform_batch(ids, texts, seed, plain_from, spm_below)
+            made = transform_batch(ids, texts, seed, plain_from, spm_below)
+            if restore:
+                back = restore_batch(made.field("text"), made.field("form"))
+                made = pa.StructArray.from_arrays([*made.flatten(), back], fields=[*_STRUCT, pa.field("restored", pa.string())])
+            yield made
 
-    kind = "n bigint, form string, prefix_chars bigint, middle_chars bigint, text string"
+    kind = "n bigint, form string, prefix_chars bigint, middle_chars bigint, text string" + ", restored string" * restore
     return df.withColumn(o, F.arrow_udf(run, kind)(F.col(id_col).cast("string"), F.col(text_col)))
 
 
@@ -217,10 +223,9 @@ def restored(output: Column, form: Column) -> Column:
 
 def op12_fill_in_middle(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    made = fill_in_middle(docs).select("doc_id", "fim")
-    return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
-                       F.sha2("fim.text", 256).alias("output_sha256"),
-                       F.sha2(restored(F.col("fim.text"), F.col("fim.form")), 256).alias("restored_sha256"))
+    return fill_in_middle(docs, restore=True).select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+        F.sha2("fim.text", 256).alias("output_sha256"), F.sha2("fim.restored", 256).alias("restored_sha256"))
 
 
 OP12_SQL = r"""
