@@ -76,6 +76,9 @@ class BoostedTrees:
 
         return F.arrow_udf(run, "double")(features)
 
+    def transform(self, df: DataFrame, features: str, out: str = "p") -> DataFrame:
+        return df.withColumn(out, self.probability(F.col(features)))
+
     def importances(self) -> np.ndarray:
         """Mean gain of each feature's splits, adding up to 1."""
         total, count = np.zeros(self.n_features), np.zeros(self.n_features)

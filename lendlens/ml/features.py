@@ -1,21 +1,19 @@
 """Model features.
 
-The whole encoder lives in one fitted ``PipelineModel`` (ordinal DTI, one-hot
-with the alphabetically first category dropped, median imputation, assembly),
-so scoring any table reproduces training alignment exactly: an unseen or
-missing category encodes as all zeros, a missing number takes the training
-median (T13, T14).
+The encoder is fitted once on the training rows (ordinal DTI, medians, a
+dictionary table of labels) and applied by joins and expressions, so scoring
+any table reproduces training alignment exactly: an unseen or missing category
+encodes as all zeros, a missing number takes the training median (T13, T14).
+Labels never pass the driver.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer,
-                                VectorAssembler, VectorSlicer)
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendlens.functions import codes
@@ -29,69 +27,41 @@ def safe_name(c: str) -> str:
 
 
 def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2,
-                     seed: int = 42, cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Hash split of rows, stratified in expectation within each class.
-
-    Rows are written once with an id (``cols`` names an existing unique key
-    instead), and go to the test side when a seeded 64-bit hash of the id
-    falls below the fraction, so equal rows are split independently. Each
-    class is split at the same rate, with no per-class window (which would put
-    a class in one task) and no shuffle.
+                     seed: int = 42, id_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split of rows by id, stratified in expectation within each class.
+
+    A row goes to the test side when the seeded key of its id falls below the
+    fraction, so equal rows are split independently and each class at the same
+    rate: no window, no shuffle, and no write when ``id_col`` names the id that
+    the table was landed with (without one the rows are written with ids).
     """
-    from lendlens.operators.sampling import ROW_ID, with_row_id
-    if not cols:
-        df = with_row_id(df)
-    h = F.pmod(F.xxhash64(F.lit(seed), *[q(c) for c in cols or [ROW_ID]]), F.lit(1_000_000))
-    marked = df.withColumn("_bucket", h).drop(ROW_ID)
-    cut = int(test_fraction * 1_000_000)
-    train = marked.filter(F.col("_bucket") >= cut).drop("_bucket")
-    test = marked.filter(F.col("_bucket") < cut).drop("_bucket")
-    return train, test
-
-
-def allocate(counts: Sequence[int], n_draws: int) -> list[int]:
-    """Integer split of ``n_draws`` over classes in proportion to ``counts``:
-    floors first, the rest to the largest remainders (ties: class order)."""
-    total = sum(counts)
-    cont = [c / total * n_draws for c in counts]
-    out = [int(math.floor(x)) for x in cont]
-    need = n_draws - sum(out)
-    for i in sorted(range(len(counts)), key=lambda i: (-(cont[i] - out[i]), i))[:need]:
-        out[i] += 1
-    return out
+    from lendlens.operators.sampling import ROW_ID, drawn, with_row_id
+    own = df if id_col else with_row_id(df)
+    test = drawn(id_col or ROW_ID, seed, test_fraction)
+    return own.filter(~test).select(*[q(c) for c in df.columns]), own.filter(test).select(*[q(c) for c in df.columns])
 
 
 def stratified_split_exact(df: DataFrame, label: str, test_fraction: float = 0.2,
-                           seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                           seed: int = 42, id_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """R3 with exact class sizes: ``ceil(fraction · n)`` test rows; per class
     the train size is allocated first and the test size from the remaining
     rows (floors plus largest remainders, as a stratified shuffle split does).
-    Within each class the rows with the smallest seeded hash of a written row
-    id go to the test side, numbered by the distributed global row number over
-    (class, hash) — range partitions, no per-class window. Costs one write of
-    the table and one range shuffle, which ``stratified_split`` avoids.
+    Within each class the rows with the smallest keys go to the test side; the
+    class thresholds come from a few counting passes over ids and labels, so
+    no row is moved.
     """
-    from lendlens.operators.sampling import ROW_ID, with_row_id
-    from lendlens.operators.window import global_row_number
-    counts = class_counts(df, label)
+    from lendlens.operators.sampling import ROW_ID, smallest_keys, split_sizes, with_row_id
+    own = df if id_col else with_row_id(df)
+    counts = class_counts(own, label)
     classes = sorted(counts)
     n = sum(counts.values())
     n_test = math.ceil(test_fraction * n)
-    cc = [counts[k] for k in classes]
-    train_n = allocate(cc, n - n_test)
-    test_n = allocate([c - t for c, t in zip(cc, train_n)], n_test)
-    start, acc = {}, 0
-    for k, c in zip(classes, cc):
-        start[k] = acc
-        acc += c
-    keyed = with_row_id(df).withColumn("_u", F.xxhash64(F.lit(seed), F.col(ROW_ID)))
-    ranked = global_row_number(keyed, [F.col(label), F.col("_u"), F.col(ROW_ID)], name="_r")
-    lit_map = lambda m: F.create_map(*[F.lit(v) for kv in m.items() for v in kv])
-    within = F.col("_r") - F.element_at(lit_map(start), F.col(label))
-    is_test = within <= F.element_at(lit_map(dict(zip(classes, test_n))), F.col(label))
-    marked = ranked.withColumn("_test", is_test).drop("_u", "_r", ROW_ID)
-    return (marked.filter(~F.col("_test")).drop("_test"),
-            marked.filter(F.col("_test")).drop("_test"))
+    sizes = [counts[k] for k in classes]
+    train_n = split_sizes(sizes, n - n_test)
+    test_n = split_sizes([c - t for c, t in zip(sizes, train_n)], n_test)
+    test = smallest_keys(own, id_col or ROW_ID, seed, dict(zip(classes, test_n)), label)
+    cols = [q(c) for c in df.columns]
+    return own.filter(~test).select(*cols), own.filter(test).select(*cols)
 
 
 def class_counts(df: DataFrame, label: str) -> dict[int, int]:
@@ -116,85 +86,166 @@ def with_class_weights(df: DataFrame, label: str, mode: str = "balanced",
     return df.withColumn(name, expr)
 
 
-def _dti_sql(col: str) -> str:
-    cases = " ".join(f"WHEN `{col}` = '{v}' THEN {i}.0" for i, v in enumerate(codes.DTI_ORDER))
-    return f"CASE {cases} END"
+#: Labels of a column up to which its dictionary is broadcast; and one-hot
+#: slots up to which features are one dense array.
+BROADCAST_LABELS = 100_000
+DENSE_SLOTS = 4096
 
 
-def fit_feature_pipeline(train: DataFrame, label: str = "approved",
-                         categorical: Sequence[str] | None = None,
-                         ordinal_cols: Sequence[str] = ("debt_to_income_ratio",),
-                         drop_first: bool = True) -> tuple[PipelineModel, list[str]]:
-    """M1 + M2 + C15 + C20: fit the encoder on the training rows.
+def label_dictionary(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """M1: (``c`` column number, ``label``, ``place``) for every distinct
+    non-NULL value of the text columns, ``place`` its rank in its column from
+    0 in alphabetical order, and the number of labels per column.
 
-    Returns the fitted pipeline (``features`` vector output) and the ordered
-    feature names (one per vector slot, pandas ``get_dummies`` style).
-    """
-    cols = [c for c in train.columns if c != label]
+    Labels are numbered by the distributed row number over (column, label);
+    only one count per column reaches the driver."""
+    from lendlens.operators.aggs import value_counts
+    from lendlens.operators.window import global_row_number
+    cols = list(cols)
+    distinct = value_counts(df, cols).select("c", F.col("v").alias("label"))
+    ranked = global_row_number(distinct, [F.col("c"), F.col("label")], name="r")
+    counts = {r["c"]: r["count"] for r in ranked.groupBy("c").count().collect()}
+    start, starts = 0, {}
+    for i in range(len(cols)):
+        starts[i] = start
+        start += counts.get(i, 0)
+    before = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("c")) if cols else F.lit(0)
+    return ranked.select("c", "label", (F.col("r") - 1 - before).cast("bigint").alias("place")), {
+        c: counts.get(i, 0) for i, c in enumerate(cols)}
+
+
+def with_places(df: DataFrame, labels: DataFrame, cols: Sequence[str], sizes: dict[str, int], prefix: str = "_x_") -> DataFrame:
+    """``df`` with the place of each text column's value (NULL: missing or
+    unseen), one left join per column: a broadcast up to ``BROADCAST_LABELS``
+    labels, a shuffle join (split where skewed) beyond."""
+    for i, c in enumerate(cols):
+        own = labels.filter(F.col("c") == i).select(F.col("label").alias(f"_label{i}"), F.col("place").alias(f"{prefix}{i}"))
+        own = F.broadcast(own) if sizes[c] <= BROADCAST_LABELS else own
+        df = df.join(own, q(c) == F.col(f"_label{i}"), "left").drop(f"_label{i}")
+    return df
+
+
+@dataclass
+class Encoder:
+    """M1 + M2 + C15 + C20 as fitted on the training rows: DTI labels to their
+    order, ±inf to NULL, NULL numbers to training medians (0 if there is none),
+    text columns to one-hot slots without the alphabetically first label. A
+    missing or unseen label has no slot."""
+
+    numeric: list[str]
+    ordinal: list[str]
+    categorical: list[str]
+    medians: dict[str, float]
+    sizes: dict[str, int]
+    labels: DataFrame
+    drop_first: bool = True
+
+    @property
+    def offsets(self) -> list[int]:
+        at, out = len(self.numeric), []
+        for c in self.categorical:
+            out.append(at)
+            at += max(self.sizes[c] - self.drop_first, 0)
+        return [*out, at]
+
+    @property
+    def n_features(self) -> int:
+        return self.offsets[-1]
+
+    def _numbers(self) -> list[Column]:
+        out = []
+        for c in self.numeric:
+            v = dti_ordinal(c).cast("double") if c in self.ordinal else X.finite(q(c).cast("double"))
+            out.append(F.coalesce(v, F.lit(float(self.medians.get(c) or 0.0))))
+        return out
+
+    def sparse(self, df: DataFrame, numbers: str = "numbers", slots: str = "slots") -> DataFrame:
+        """``df`` with its numbers and, per text column that has one, the slot
+        of its label: for dictionaries of any size."""
+        own = with_places(df, self.labels, self.categorical, self.sizes)
+        found = [F.when(F.col(f"_x_{i}") >= int(self.drop_first), F.col(f"_x_{i}") - int(self.drop_first) + self.offsets[i])
+                 for i in range(len(self.categorical))]
+        made = F.array_compact(F.array(*found)) if found else F.array().cast("array<bigint>")
+        return own.withColumn(numbers, F.array(*self._numbers())).withColumn(slots, made).drop(
+            *[f"_x_{i}" for i in range(len(self.categorical))])
+
+    def array(self, df: DataFrame, name: str = "x") -> DataFrame:
+        """``df`` with all features as one dense array."""
+        if self.n_features > DENSE_SLOTS:
+            raise ValueError(f"{self.n_features} features do not make a dense array: reduce the categories or use sparse()")
+        own = with_places(df, self.labels, self.categorical, self.sizes)
+        parts = [F.array(*self._numbers())] if self.numeric else []
+        for i, c in enumerate(self.categorical):
+            k = self.sizes[c] - self.drop_first
+            if k > 0:
+                place = F.coalesce(F.col(f"_x_{i}"), F.lit(-1)) - int(self.drop_first)
+                parts.append(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j, p=place: F.when(j == p, 1.0).otherwise(0.0)))
+        return own.withColumn(name, F.concat(*parts)).drop(*[f"_x_{i}" for i in range(len(self.categorical))])
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``features`` as an ML vector."""
+        from pyspark.ml.functions import array_to_vector
+        return self.array(df, "_dense").withColumn("features", array_to_vector("_dense")).drop("_dense")
+
+    def names_table(self) -> DataFrame:
+        """(``slot``, ``name``) of every feature."""
+        spark = self.labels.sparkSession
+        numbers = spark.createDataFrame([(i, safe_name(c)) for i, c in enumerate(self.numeric)], "slot bigint, name string")
+        column = F.element_at(F.array(*[F.lit(safe_name(c)) for c in self.categorical] or [F.lit("")]), F.col("c") + 1)
+        offset = F.element_at(F.array(*[F.lit(x) for x in self.offsets]), F.col("c") + 1)
+        own = self.labels.filter(F.col("place") >= int(self.drop_first)).select(
+            (offset + F.col("place") - int(self.drop_first)).cast("bigint").alias("slot"), F.concat(column, F.lit("_"), F.col("label")).alias("name"))
+        return numbers.union(own)
+
+    def names(self) -> list[str]:
+        """The feature names in order, of at most ``DENSE_SLOTS`` features."""
+        if self.n_features > DENSE_SLOTS:
+            raise ValueError("too many features to list; use names_table()")
+        return [r["name"] for r in sorted(self.names_table().collect())]
+
+    def save(self, path: str) -> None:
+        import json
+        spark = self.labels.sparkSession
+        self.labels.write.mode("overwrite").parquet(f"{path}/labels")
+        meta = {k: getattr(self, k) for k in ("numeric", "ordinal", "categorical", "medians", "sizes", "drop_first")}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
+
+    @staticmethod
+    def load(spark, path: str) -> Encoder:
+        import json
+        meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
+        return Encoder(**meta, labels=spark.read.schema("c int, label string, place bigint").parquet(f"{path}/labels"))
+
+
+def fit_encoder(train: DataFrame, label: str = "approved", categorical: Sequence[str] | None = None,
+                ordinal_cols: Sequence[str] = ("debt_to_income_ratio",), drop_first: bool = True,
+                leave_out: Sequence[str] = ()) -> Encoder:
+    """Fit on the training rows: medians of the numbers, a dictionary of the
+    text columns. Columns in ``leave_out`` (ids) are no features."""
+    from lendlens.operators.aggs import column_medians
+    from lendlens.session import materialize
     types = dict(train.dtypes)
-    ordinal_cols = [c for c in ordinal_cols if types.get(c) == "string"]
+    cols = [c for c in train.columns if c != label and c not in leave_out]
+    ordinal = [c for c in ordinal_cols if c in cols and types[c] == "string"]
     if categorical is None:
-        categorical = [c for c, t in train.dtypes if t == "string" and c not in ordinal_cols and c != label]
+        categorical = [c for c in cols if types[c] == "string" and c not in ordinal]
     numeric = [c for c in cols if c not in categorical]
-    stages: list[Transformer] = []
-    # ordinal encoding + ±inf → NULL on numeric inputs (one SQL projection)
-    # inputs are kept (``SELECT *``) so scoring can carry scenario columns
-    proj = []
-    for c in cols:
-        if c in ordinal_cols:
-            proj.append(f"{_dti_sql(c)} AS `_f_{safe_name(c)}`")
-        elif c in numeric:
-            proj.append(f"CASE WHEN isnan(CAST(`{c}` AS DOUBLE)) OR abs(CAST(`{c}` AS DOUBLE)) = double('inf') "
-                        f"THEN NULL ELSE CAST(`{c}` AS DOUBLE) END AS `_f_{safe_name(c)}`")
-        else:
-            proj.append(f"`{c}` AS `_f_{safe_name(c)}`")
-    stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(proj) + " FROM __THIS__"))
-    typed = stages[0].transform(train)
-
-    num_safe = [safe_name(c) for c in numeric]
-    # Exact (interpolated) medians of the training rows, computed
-    # distributed (no single-task value map); a column that is entirely NULL
-    # gets 0. The values are baked into the pipeline, so scoring imputes with
-    # the training medians.
-    if num_safe:
-        from lendlens.operators.aggs import column_medians
-        med = column_medians(typed.select(*[q(f"_f_{c}").alias(c) for c in num_safe]), num_safe)
-        medians = med.first().asDict()
-    else:
-        medians = {}
-    if num_safe:
-        fills = ", ".join(
-            f"coalesce(`_f_{c}`, CAST('{float(medians[c]) if medians[c] is not None else 0.0!r}' AS DOUBLE))"
-            f" AS `_i_{c}`" for c in num_safe)
-        stages.append(SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"))
-    names: list[str] = []
-    vec_inputs: list[str] = []
-    for c in num_safe:
-        vec_inputs.append(f"_i_{c}")
-        names.append(c)
-
-    cat_safe = [safe_name(c) for c in categorical]
-    if cat_safe:
-        idx = StringIndexer(inputCols=[f"_f_{c}" for c in cat_safe],
-                            outputCols=[f"_x_{c}" for c in cat_safe],
-                            stringOrderType="alphabetAsc", handleInvalid="keep").fit(typed)
-        stages.append(idx)
-        ohe = OneHotEncoder(inputCols=[f"_x_{c}" for c in cat_safe],
-                            outputCols=[f"_o_{c}" for c in cat_safe], dropLast=True,
-                            handleInvalid="keep")
-        stages.append(ohe)
-        for c, labels in zip(cat_safe, idx.labelsArray):
-            k = len(labels)
-            first = 1 if drop_first else 0
-            keep = list(range(first, k))
-            if not keep:
-                continue
-            stages.append(VectorSlicer(inputCol=f"_o_{c}", outputCol=f"_s_{c}", indices=keep))
-            vec_inputs.append(f"_s_{c}")
-            names += [f"{c}_{labels[i]}" for i in keep]
-    stages.append(VectorAssembler(inputCols=vec_inputs, outputCol="features", handleInvalid="keep"))
-    model = Pipeline(stages=stages).fit(train)
-    return model, names
+    values = [(dti_ordinal(c).cast("double") if c in ordinal else X.finite(q(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(numeric)]
+    medians = {}
+    if numeric:
+        row = column_medians(train.select(*values), [f"n{i}" for i in range(len(numeric))]).first()
+        medians = {c: row[f"n{i}"] for i, c in enumerate(numeric)}
+    places, sizes = label_dictionary(train, categorical)
+    return Encoder(numeric, ordinal, list(categorical), medians, sizes, materialize(places, "labels"), drop_first)
+
+
+def fit_feature_pipeline(train: DataFrame, label: str = "approved",
+                         categorical: Sequence[str] | None = None,
+                         ordinal_cols: Sequence[str] = ("debt_to_income_ratio",),
+                         drop_first: bool = True) -> tuple[Encoder, list[str]]:
+    """The fitted encoder and its feature names."""
+    encoder = fit_encoder(train, label, categorical, ordinal_cols, drop_first)
+    return encoder, encoder.names()
 
 
 def reduce_high_cardinality(df: DataFrame, cols: Sequence[str] | None = None,

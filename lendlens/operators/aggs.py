@@ -10,8 +10,10 @@ aggregated counts, which are bounded by |domain| and broadcast safely.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,102 +141,183 @@ def null_profile(df: DataFrame, top: int | None = 10) -> DataFrame:
     return long.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= top)
 
 
+#: Distinct (column, value) pairs that a task holds before it emits them.
+HELD_VALUES = 100_000
+
+
+def value_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Rows per distinct non-NULL value of every column: (``c`` column number,
+    ``v`` value as text, ``n``), from ONE scan whatever the number of columns.
+
+    Tasks count the values of their batches column by column and hold the
+    combined counts up to ``HELD_VALUES``; only distinct pairs are shuffled, so
+    a value that fills a third of the table is one row per task."""
+    from lendlens.session import ship_package
+    ship_package(df.sparkSession)
+    cols, types = list(cols or df.columns), dict(df.dtypes)
+    as_text = [(F.when(q(c) == 0, F.lit(0.0)).otherwise(q(c)) if types[c] in ("double", "float") else q(c)).cast("string").alias(f"c{i}")
+               for i, c in enumerate(cols)]
+
+    def combined(parts: list) -> pa.Table:
+        return pa.concat_tables(parts).group_by(["c", "v"]).aggregate([("n", "sum")]).rename_columns(["c", "v", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                found = column.drop_null().value_counts()
+                values = found.field(0).cast(pa.string())
+                parts.append(pa.table([pa.array(np.full(len(found), i), pa.int32()), values, found.field(1).cast(pa.int64())],
+                                      names=["c", "v", "n"]))
+                held += len(found)
+            if held > HELD_VALUES:
+                parts = [combined(parts)]
+                if parts[0].num_rows > HELD_VALUES // 2:
+                    yield from parts[0].to_batches()
+                    parts = []
+                held = sum(t.num_rows for t in parts)
+        if parts:
+            yield from combined(parts).to_batches()
+
+    counted = df.select(*as_text).mapInArrow(run, "c int, v string, n bigint")
+    return counted.groupBy("c", "v").agg(F.sum("n").alias("n"))
+
+
 def distinct_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A10: exact distinct non-NULL values per column, one pass."""
+    """A10: exact distinct non-NULL values per column, from one scan."""
     cols = list(cols or df.columns)
-    wide = df.agg(*[F.count_distinct(q(c)).alias(c) for c in cols])
+    wide = value_counts(df, cols).agg(*[F.count_if(F.col("c") == i).alias(c) for i, c in enumerate(cols)])
     return wide.unpivot([], [q(c) for c in cols], "column", "n_distinct")
 
 
-def top_values(df: DataFrame, col: str, top_n: int) -> DataFrame:
-    """Most frequent ``top_n`` non-NULL values of a column (ties: value asc).
+def column_profile(df: DataFrame, cols: Sequence[str], top_n: int) -> dict[str, tuple[int, list[str]]]:
+    """Distinct non-NULL values and the ``top_n`` most frequent ones (ties:
+    value ascending) of every column, from one scan and one shuffle of the
+    distinct pairs; ``top_n`` values per column and task reach the last step."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    out: dict[str, tuple[int, list[str]]] = {c: (0, []) for c in cols}
+    for r in sorted(_profile_rows(df, cols, top_n).collect(), key=lambda r: (r["c"], r["r"])):
+        c = cols[r["c"]]
+        out[c] = (r["d"], out[c][1]) if r["r"] == 0 else (out[c][0], [*out[c][1], r["v"]])
+    return out
 
-    ``orderBy().limit()`` plans as TakeOrderedAndProject: every task keeps its
-    own top n and only n rows per task reach the final merge."""
-    return (df.filter(q(col).isNotNull()).groupBy(q(col).cast("string").alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .orderBy(F.col("_n").desc(), F.col("_v").asc()).limit(top_n))
 
+def _profile_rows(df: DataFrame, cols: Sequence[str], top_n: int) -> DataFrame:
+    """Per column a row ``r`` = 0 with the distinct number ``d``, and its top
+    values by rank ``r``; both read one exchange of the counts."""
+    counts = value_counts(df, cols)
+    order = Window.partitionBy("c").orderBy(F.col("n").desc(), F.col("v").asc())
+    top = counts.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= top_n).select(
+        "c", "r", "v", "n", F.lit(None).cast("bigint").alias("d"))
+    # the sum is asked for too, so that both branches read the same aggregate
+    sizes = counts.groupBy("c").agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n")).select(
+        "c", F.lit(0).alias("r"), F.lit(None).cast("string").alias("v"), "n", "d")
+    return sizes.union(top)
 
-def high_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int) -> list[str]:
-    """Columns with more than ``max_distinct`` distinct non-NULL values.
 
-    Exact: a HyperLogLog screen (relative error 1%) settles every column far
-    from the threshold; the rest are counted exactly in one distributed pass
-    (distinct (column, value) pairs, deduplicated map-side, then counted per
-    column). One schema-sized result comes back per pass.
-    """
-    cols = list(cols)
+def high_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int) -> list[str]:
+    """Columns with more than ``max_distinct`` distinct non-NULL values, by
+    exact counts of all columns from one scan."""
     if not cols:
         return []
-    approx = df.agg(*[F.approx_count_distinct(q(c), 0.01).alias(c) for c in cols]).first().asDict()
-    high = [c for c in cols if approx[c] > 2 * max_distinct + 10]
-    unsure = [c for c in cols if c not in high and approx[c] > max_distinct // 2]
-    if unsure:
-        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), q(c).cast("string").alias("_v"))
-                                    for i, c in enumerate(unsure)]))
-        exact = {r["_c"]: r["n"] for r in
-                 df.select(pairs.alias("_p")).select("_p._c", "_p._v")
-                 .filter(F.col("_v").isNotNull()).distinct()
-                 .groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
-        high += [c for i, c in enumerate(unsure) if exact.get(i, 0) > max_distinct]
-    return [c for c in cols if c in high]
+    sizes = distinct_profile(df, cols).collect()
+    return [r["column"] for r in sizes if r["n_distinct"] > max_distinct]
 
 
 def reduce_categories(df: DataFrame, cols: Sequence[str], top_n: int = 10,
                       max_distinct: int = 20, other: str = "OTHER") -> DataFrame:
     """In columns with more than ``max_distinct`` distinct values, keep
     the ``top_n`` most frequent values and replace the rest (and NULL) by
-    ``other``.
-
-    The top-n per column is a per-task top-n (``orderBy().limit()``); the
-    kept values (≤ top_n per column) are joined back as a broadcast of a
-    proven-bounded table.
+    ``other``. One scan profiles all columns; the second, lazy one maps them
+    by a literal list of at most ``top_n`` values per column, without a join.
     """
-    high = high_cardinality(df, cols, max_distinct)
     out = df
-    for c in high:
-        keep = top_values(df, c, top_n).select(F.col("_v").alias(f"_keep_{c}"))
-        out = (out.join(F.broadcast(keep), q(c).cast("string") == F.col(f"_keep_{c}"), "left")
-               .withColumn(c, F.when(F.col(f"_keep_{c}").isNotNull(), q(c).cast("string"))
-                           .otherwise(F.lit(other)))
-               .drop(f"_keep_{c}"))
+    for c, (distinct, keep) in column_profile(df, cols, top_n).items():
+        if distinct > max_distinct:
+            text = q(c).cast("string")
+            if dict(df.dtypes)[c] in ("double", "float"):  # as counted: -0.0 is 0.0
+                text = F.when(q(c) == 0, F.lit(0.0)).otherwise(q(c)).cast("string")
+            out = out.withColumn(c, F.when(text.isin(keep), text).otherwise(F.lit(other)))
     return out
 
 
-def column_medians(df: DataFrame, cols: Sequence[str],
-                   num_partitions: int | None = None) -> DataFrame:
+#: Digits of a double that one pass of ``column_medians`` settles.
+DIGIT_BITS = 16
+
+
+def column_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact (interpolated) median per numeric column, one row.
 
-    ``median`` would keep a map of every distinct value and merge all maps in
-    ONE final task, unbounded for continuous columns. Here the work stays
-    distributed: (column, value) counts are combined map-side, a running sum
-    in (column, value) order (two-level, range-partitioned) gives each value
-    its rank interval, and only the one or two values holding the middle
-    ranks of each column survive the filter. NULLs are skipped; a column
-    without values gets NULL; even counts interpolate ``a + (b - a) / 2``.
+    The doubles are read as ordered 64-bit integers, and the two middle ranks
+    of all columns at once are narrowed digit by digit: a pass counts per
+    column the next 16 bits of the values that share the digits found so far
+    (numpy histograms per task), the running sum over at most 65,536 counts
+    tells the digit that holds the rank. Four scans whatever the size or the
+    number of columns; nothing is exploded, sorted or written. NULLs are
+    skipped; a column without values gets NULL; even counts interpolate
+    ``a + (b - a) / 2``.
     """
-    from lendlens.operators.window import global_running_sum
     cols = list(cols)
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), q(c).cast("double").alias("_v"))
-                                for i, c in enumerate(cols)]))
-    long = df.select(pairs.alias("_p")).select("_p._c", "_p._v").filter(F.col("_v").isNotNull())
-    counts = long.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    cum = global_running_sum(counts, [F.col("_c"), F.col("_v")], ["_n"], prefix="_cum",
-                             num_partitions=num_partitions)
-    # per-column totals and start offsets: one row per column
-    totals = cum.groupBy("_c").agg(F.sum("_n").alias("_tot"))
-    before = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_start", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
-    hi = F.col("_cum_n") - F.col("_start")          # values of this column with rank < hi
-    lo = hi - F.col("_n")                           # 0-based ranks [lo, hi) hold this value
-    k1 = F.expr("(_tot - 1) div 2")
-    k2 = F.expr("_tot div 2")
-    at1 = (lo <= k1) & (k1 < hi)
-    at2 = (lo <= k2) & (k2 < hi)
-    mid = (cum.join(F.broadcast(totals), "_c").filter(at1 | at2)
-           .groupBy("_c").agg(F.max(F.when(at1, F.col("_v"))).alias("_a"),
-                              F.max(F.when(at2, F.col("_v"))).alias("_b")))
-    mid = mid.select("_c", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.lit(0.5)).alias("_m"))
-    return mid.agg(*[F.max(F.when(F.col("_c") == i, F.col("_m"))).alias(c)
-                     for i, c in enumerate(cols)])
+    spark = df.sparkSession
+    from lendlens.session import ship_package
+    ship_package(spark)
+    numbers = df.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    # per column the prefixes of its middle values (one or two) and the rank inside each
+    found: dict[int, list[tuple[int, int]]] = {i: [(0, -1)] for i in range(len(cols))}
+    for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
+        first = shift == 64 - DIGIT_BITS
+        asked = {i: sorted({p for p, _ in own}) for i, own in found.items()}
+        counts = numbers.mapInArrow(_digit_counts(asked, shift), "c int, p int, d int, n bigint").groupBy("c", "p", "d").agg(F.sum("n").alias("n"))
+        by = Window.partitionBy("c", "p")
+        upto = F.sum("n").over(by.orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        total = F.sum("n").over(by)
+        placed = counts.select("c", "p", "d", "n", upto.alias("upto"), total.alias("total"))
+        if first:  # the middle ranks follow from the number of values
+            ranks = F.array(F.expr("(total - 1) div 2"), F.expr("total div 2"))
+        else:
+            ranks = F.array(F.lit(-1).cast("bigint"))
+            for i, own in found.items():
+                for k, p in enumerate(asked[i]):
+                    inside = F.array(*[F.lit(r).cast("bigint") for q_, r in own if q_ == p])
+                    ranks = F.when((F.col("c") == i) & (F.col("p") == k), inside).otherwise(ranks)
+        hit = placed.withColumn("rank", F.explode(ranks)).filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        rows = hit.select("c", "p", "d", (F.col("rank") - (F.col("upto") - F.col("n"))).alias("inside")).collect()  # two per column
+        found = {}
+        for r in rows:
+            prefix = asked[r["c"]][r["p"]]
+            found.setdefault(r["c"], []).append(((prefix << DIGIT_BITS) + r["d"], r["inside"]))
+    values = []
+    for i in range(len(cols)):
+        own = sorted(_double_of(p) for p, _ in found.get(i, []))
+        values.append(own[0] + (own[-1] - own[0]) * 0.5 if own else None)
+    return spark.createDataFrame([tuple(values)], ", ".join(f"`{c}` double" for c in cols))
+
+
+def _digit_counts(asked: dict[int, list[int]], shift: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {(i, k): np.zeros(1 << DIGIT_BITS, np.int64) for i, own in asked.items() for k in range(len(own))}
+        for batch in batches:
+            for i, own in asked.items():
+                v = batch.column(i).drop_null().to_numpy(zero_copy_only=False) + 0.0
+                bits = v.view(np.uint64)
+                ordered = np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(1 << 63))
+                rest = ordered >> np.uint64(shift)
+                for k, prefix in enumerate(own):
+                    here = rest
+                    if shift + DIGIT_BITS < 64:
+                        here = rest[rest >> np.uint64(DIGIT_BITS) == np.uint64(prefix)]
+                    sums[i, k] += np.bincount((here & np.uint64((1 << DIGIT_BITS) - 1)).astype(np.int64), minlength=1 << DIGIT_BITS)
+        for (i, k), n in sums.items():
+            d = np.flatnonzero(n)
+            if len(d):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(d), x), pa.int32()) for x in (i, k)] + [
+                    pa.array(d, pa.int32()), pa.array(n[d])], names=["c", "p", "d", "n"])
+
+    return run
+
+
+def _double_of(ordered: int) -> float:
+    bits = ordered & ((1 << 63) - 1) if ordered >> 63 else ~ordered & ((1 << 64) - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])

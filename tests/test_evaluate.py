@@ -84,8 +84,9 @@ def test_model_roundtrip_and_reference_profiles(spark):
 def test_exact_stratified_split_sizes(spark):
     """Exact per-class sizes of a stratified 80/20 split: 201/799 rows give
     test 40/160 (train floors 160.8→161 by largest remainder, 639.2→639)."""
-    from lendlens.ml.features import allocate, stratified_split_exact
-    assert allocate([201, 799], 800) == [161, 639]
+    from lendlens.ml.features import stratified_split_exact
+    from lendlens.operators.sampling import split_sizes
+    assert split_sizes([201, 799], 800) == [161, 639]
     df = spark.range(1000).selectExpr("id", "CAST(id % 1000 < 201 AS INT) AS y")
     df = df.selectExpr("id", "1 - y AS approved")
     train, test = stratified_split_exact(df, "approved", 0.2, 42)
@@ -136,3 +137,29 @@ def test_l1_ranks_by_standard_units(spark):
     df = df.withColumn("approved", (F.col("loan_amount") / 400_000 * 4 + F.col("loan_to_value_ratio") + F.col("u") * 0.5 > 2.7).cast("int")).drop("u")
     chosen, info = select_features(df, num_c=2, max_iter=50)
     assert "loan_amount" in chosen.first()["feature"] and info["test_auc"] > 0.9
+
+
+def test_landed_ids_need_no_write(spark, monkeypatch):
+    """With an id column, split and sample read only: same rows whatever the
+    partitioning, exact sizes, half of the rows equal but for their ids."""
+    from lendlens import session
+    from lendlens.ml.features import stratified_split_exact
+    from lendlens.operators.sampling import sample_at_most
+
+    def none(*_a, **_k):
+        raise AssertionError("written")
+    df = spark.range(12_000, numPartitions=3).select("id", F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("x"),
+                                                     (F.col("id") % 10 < 3).cast("int").alias("y"))
+    monkeypatch.setattr(session, "materialize", none)
+    monkeypatch.setattr("lendlens.operators.window.materialize", none)
+    for fn in (lambda d: stratified_split(d, "y", 0.2, id_col="id")[1], lambda d: stratified_split_exact(d, "y", 0.2, id_col="id")[1],
+               lambda d: sample_at_most(d, 2400, id_col="id")):
+        a, b = fn(df), fn(df.repartition(5))
+        assert "Exchange" not in a._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["id"] for r in a.collect()) == sorted(r["id"] for r in b.collect())
+        assert abs(a.count() - 2400) < 150 and abs(a.filter("x = -1").count() - 1200) < 120
+    assert sample_at_most(df, 2400, id_col="id").count() == 2400
+    assert sample_at_most(df, 0, id_col="id").count() == 0 and sample_at_most(df, 10**6, id_col="id").count() == 12_000
+    test = stratified_split_exact(df, "y", 0.2, id_col="id")[1]
+    assert {r["y"]: r["count"] for r in test.groupBy("y").count().collect()} == {0: 1680, 1: 720}
+    assert sample_at_most(df.limit(0), 5, id_col="id").count() == 0

@@ -120,20 +120,22 @@ def test_lookup_join_small_facts_against_large_dimension(spark):
 
 def test_column_medians_match_exact_median(spark):
     """Distributed exact medians equal Spark's single-task ``median`` (odd and
-    even counts, duplicates, NULLs, an all-NULL column), both on the bounded
-    single-task path and on the range-partitioned path."""
+    even counts, duplicates, NULLs, an all-NULL column, signs, infinities)
+    however the rows are partitioned."""
     import random
     rnd = random.Random(7)
     rows = [(rnd.choice([None, rnd.randint(0, 40)]), float(rnd.randint(-5, 5)) / 3, None,
-             rnd.random()) for _ in range(1001)]
-    df = spark.createDataFrame(rows, "a int, b double, c double, d double")
-    for sub in (df, df.limit(1000)):
+             rnd.random(), rnd.choice([0.0, -0.0, float("inf"), -float("inf"), -1e-300, 5e300])) for _ in range(1001)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, d double, e double")
+    for sub in (df, df.limit(1000), df.limit(2), df.limit(1), df.limit(0)):
         want = sub.agg(*[F.median(c).alias(c) for c in "abcd"]).first().asDict()
-        for parts in (None, 5):
-            got = aggs.column_medians(sub, list("abcd"), num_partitions=parts).first().asDict()
+        for parts in (1, 5):
+            got = aggs.column_medians(sub.repartition(parts), list("abcd")).first().asDict()
             assert got["c"] is None and want["c"] is None
             for c in "abd":
-                assert abs(got[c] - want[c]) < 1e-12, (c, parts, got[c], want[c])
+                assert (got[c] is None and want[c] is None) or abs(got[c] - want[c]) < 1e-12, (c, parts, got[c], want[c])
+    odd = df.filter("e is not null").limit(999)
+    assert aggs.column_medians(odd, ["e"]).first()["e"] == odd.agg(F.median("e")).first()[0]
 
 
 def test_sample_at_most_exact_count_and_stable(spark):
@@ -152,3 +154,29 @@ def test_high_cardinality_exact_near_threshold(spark):
     rows = [(i % 5, i % 20, i % 21, str(i % 100), None) for i in range(2100)]
     df = spark.createDataFrame(rows, "a int, b int, c int, d string, e string")
     assert aggs.high_cardinality(df, list("abcde"), max_distinct=20) == ["c", "d"]
+
+
+def test_profile_of_all_columns_from_one_scan(spark, monkeypatch, tmp_path):
+    """Counts, distinct numbers and top values equal plain aggregates; the
+    rows are read once, and tasks flush when they hold many values."""
+    rows = [(i % 7, f"v{i * i % 31}", float(i % 3) - 1 if i % 5 else None, None, i) for i in range(2000)] + [(1, "v0", -0.0, None, 5)]
+    spark.createDataFrame(rows, "a int, b string, c double, d string, e int").repartition(3).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for held in (100_000, 50):
+        monkeypatch.setattr(aggs, "HELD_VALUES", held)
+        got = {r["column"]: r["n_distinct"] for r in aggs.distinct_profile(df).collect()}
+        assert got == df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+        profile = aggs.column_profile(df, df.columns, 3)
+        for c in df.columns:
+            top = df.filter(F.col(c).isNotNull()).groupBy((F.col(c) + F.lit(0.0) if c == "c" else F.col(c)).cast("string").alias("v")).count()
+            want = [r["v"] for r in top.orderBy(F.col("count").desc(), "v").limit(3).collect()]
+            assert profile[c] == (got[c], want)
+    assert aggs.column_profile(df.limit(0), ["a"], 3) == {"a": (0, [])}
+    plan = aggs.distinct_profile(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Expand" not in plan.split("HashAggregate", 1)[1]
+    both = aggs._profile_rows(df, df.columns, 3)
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1
+    plan = aggs.reduce_categories(df, df.columns, 3, 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
