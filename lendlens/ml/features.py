@@ -125,6 +125,10 @@ def with_places(df: DataFrame, labels: DataFrame, cols: Sequence[str], sizes: di
     return df
 
 
+def _one_hot(place: Column, size: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: F.when(j == place, 1.0).otherwise(0.0))
+
+
 @dataclass
 class Encoder:
     """M1 + M2 + C15 + C20 as fitted on the training rows: DTI labels to their
@@ -178,8 +182,7 @@ class Encoder:
         for i, c in enumerate(self.categorical):
             k = self.sizes[c] - self.drop_first
             if k > 0:
-                place = F.coalesce(F.col(f"_x_{i}"), F.lit(-1)) - int(self.drop_first)
-                parts.append(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j, p=place: F.when(j == p, 1.0).otherwise(0.0)))
+                parts.append(_one_hot(F.coalesce(F.col(f"_x_{i}"), F.lit(-1)) - int(self.drop_first), k))
         return own.withColumn(name, F.concat(*parts)).drop(*[f"_x_{i}" for i in range(len(self.categorical))])
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -17,6 +17,11 @@ class LinearModel:
     coefficients: list[float]
     intercept: float
 
+    @staticmethod
+    def by_name(names: list[str], coefficients: dict[str, float], intercept: float) -> LinearModel:
+        """Coefficients given by feature name; others are 0."""
+        return LinearModel([float(coefficients.get(n, 0.0)) for n in names], float(intercept))
+
     @property
     def n_features(self) -> int:
         return len(self.coefficients)

@@ -154,7 +154,7 @@ def value_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     a value that fills a third of the table is one row per task."""
     from lendlens.session import ship_package
     ship_package(df.sparkSession)
-    cols, types = list(cols or df.columns), dict(df.dtypes)
+    cols, types = list(df.columns if cols is None else cols), dict(df.dtypes)
     as_text = [(F.when(q(c) == 0, F.lit(0.0)).otherwise(q(c)) if types[c] in ("double", "float") else q(c)).cast("string").alias(f"c{i}")
                for i, c in enumerate(cols)]
 
@@ -185,7 +185,7 @@ def value_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def distinct_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A10: exact distinct non-NULL values per column, from one scan."""
-    cols = list(cols or df.columns)
+    cols = list(df.columns if cols is None else cols)
     wide = value_counts(df, cols).agg(*[F.count_if(F.col("c") == i).alias(c) for i, c in enumerate(cols)])
     return wide.unpivot([], [q(c) for c in cols], "column", "n_distinct")
 

@@ -134,12 +134,13 @@ def model_features_from(apps: DataFrame, extra: tuple = ("action_taken", "activi
     return df.select(*sel)
 
 
-def model_table_from(apps: DataFrame) -> DataFrame:
+def model_table_from(apps: DataFrame, keep: tuple = ()) -> DataFrame:
     """Q4: approved (code 1) and denied (code 3) files, labelled and unioned,
     leakage columns dropped (U3). Both files come from one table here, so one
-    filter and the label give the union's rows in one scan."""
+    filter and the label give the union's rows in one scan. ``keep``: further
+    columns, such as the rows' id."""
     from lendlens.sources.tables import drop_existing
-    feats = model_features_from(_integer_codes(apps)).filter(F.col("action_taken").isin(1, 3))
+    feats = model_features_from(_integer_codes(apps), (*keep, "action_taken", "activity_year")).filter(F.col("action_taken").isin(1, 3))
     return drop_existing(feats.withColumn("approved", (F.col("action_taken") == 1).cast("int")),
                          ("action_taken", "activity_year"))
 
@@ -246,14 +247,22 @@ def selection_input_from(apps: DataFrame) -> DataFrame:
     leakage/identifier columns dropped, DTI as ordinal, column types inferred
     over whole columns (number-only text → DOUBLE)."""
     from lendlens.ml.features import dti_ordinal
+    from lendlens.sources.landing import ID_COLUMN
     from lendlens.sources.tables import drop_existing, infer_types
     df = normalize_na(apps).filter(F.col("action_taken").isin(1, 3))
     df = df.withColumn("approved", X.flag("action_taken", [1]))
     df = drop_existing(df, codes.SELECTION_DROP + ["src_orderkey", "src_linenumber", "src_partkey"])
     df = df.withColumn("debt_to_income_ratio", dti_ordinal("debt_to_income_ratio").cast("double"))
-    return infer_types(df)
+    if ID_COLUMN not in df.columns:
+        return infer_types(df)
+    own = infer_types(df.drop(ID_COLUMN))
+    types = dict(own.dtypes)
+    return df.select(ID_COLUMN, *[q(c).cast(types[c]) if types[c] != t else q(c) for c, t in df.dtypes if c != ID_COLUMN])
 
 
 def select_features_from(apps: DataFrame, **kw):
     from lendlens.ml.train import select_features
+    from lendlens.sources.landing import ID_COLUMN
+    if ID_COLUMN in apps.columns:
+        kw = {"id_col": ID_COLUMN, **kw}
     return select_features(selection_input_from(apps), **kw)

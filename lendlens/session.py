@@ -81,15 +81,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder beside the session's own checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return base.rsplit("/", 1)[0] if "/" in base else base
+
+
 def materialize(df, label: str = "table"):
     """Cut lineage by writing ``df`` as Parquet into the shared folder named
     by ``spark.checkpoint.dir`` and reading it back (survives executor loss;
     used where ``Dataset.checkpoint`` is unsuitable, e.g. on union plans)."""
     import uuid
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    root = base.rsplit("/", 1)[0] if "/" in base else base
-    path = f"{root}/lendlens-tables/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/lendlens-tables/{label}-{uuid.uuid4().hex[:12]}"
     ship_package(spark)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
