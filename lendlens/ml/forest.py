@@ -74,14 +74,16 @@ def grow_local(x: np.ndarray, y: np.ndarray, weight: np.ndarray, min_leaf: int,
                rng: np.random.Generator) -> tuple[Tree, np.ndarray]:
     """A tree grown to the end, and the impurity decrease by feature.
 
-    All open nodes of a depth are split together: per feature the rows of the
-    nodes that try it are ordered by (node, value), running class sums give
-    the score of every boundary, the best of each node is kept."""
+    All open nodes of a depth are split together: every row is paired with the
+    features that its node tries, the pairs are ordered by (node, feature,
+    value), running class sums give the score of every boundary, the best of
+    each node is kept (ties: the lowest feature, the lowest value)."""
     width = x.shape[1]
     values, ranks = [], np.empty(x.shape, np.int32)
     for f in range(width):
         v, ranks[:, f] = np.unique(x[:, f], return_inverse=True)
         values.append(v)
+    most = max(map(len, values), default=0) + 1
     ones = weight * y
     rows, node = np.arange(len(x)), np.zeros(len(x), np.int64)
     feature, threshold, left, right, value = [-1], [0.0], [-1], [-1], [0.0]
@@ -89,48 +91,56 @@ def grow_local(x: np.ndarray, y: np.ndarray, weight: np.ndarray, min_leaf: int,
     while len(numbers):
         m = len(numbers)
         w, w1, n = (np.bincount(node, v, m) for v in (weight[rows], ones[rows], None))
-        for k, number in enumerate(numbers):
-            value[number] = w1[k] / w[k] if w[k] else 0.0
+        for number, share in zip(numbers.tolist(), np.divide(w1, w, out=np.zeros(m), where=w > 0).tolist(), strict=True):
+            value[number] = share
         open_ = (w1 > 0) & (w1 < w) & (n >= 2 * min_leaf)
         if max_depth is not None and depth >= max_depth:
             open_[:] = False
-        best, at, cut = np.full(m, -np.inf), np.full(m, -1), np.zeros(m, np.int64)
-        order = rng.permuted(np.tile(np.arange(width), (m, 1)), axis=1)
+        at, cut, best = np.full(m, -1), np.zeros(m, np.int64), np.full(m, -np.inf)
+        order = rng.permuted(np.tile(np.arange(width), (m, 1)), axis=1) if open_.any() else None
         for start in range(0, width, tries):
-            todo = open_ & (at < 0)
-            if not todo.any():
+            todo = np.flatnonzero(open_ & (at < 0))
+            if not len(todo):
                 break
-            tried = np.zeros((m, width), bool)
-            np.put_along_axis(tried, order[:, start : start + tries], True, axis=1)
-            tried &= todo[:, None]
-            for f in np.flatnonzero(tried.any(axis=0)):
-                own = tried[node, f]
-                r, of = rows[own], node[own]
-                key = of * (len(values[f]) + 1) + ranks[r, f]
-                by = np.argsort(key, kind="stable")
-                r, of, key = r[by], of[by], key[by]
-                if len(r) < 2:
-                    continue
-                first = np.append(0, np.flatnonzero(of[1:] != of[:-1]) + 1)
-                size = np.diff(np.append(first, len(r)))
-                lw, l1 = np.cumsum(weight[r]), np.cumsum(ones[r])
-                base = np.repeat(first, size)
-                lw, l1 = lw - (lw[base] - weight[r][base]), l1 - (l1[base] - ones[r][base])
-                ln = np.arange(len(r)) - base + 1
-                total, total1 = w[of], w1[of]
-                rw, r1 = total - lw, total1 - l1
-                ok = (ln >= min_leaf) & (np.repeat(size, size) - ln >= min_leaf)
-                ok[:-1] &= (key[1:] != key[:-1]) & (of[1:] == of[:-1])
-                ok[-1] = False
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    score = (l1 * l1 + (lw - l1) ** 2) / lw + (r1 * r1 + (rw - r1) ** 2) / rw
-                score = np.where(ok, score, -np.inf)
-                top = np.maximum.reduceat(score, first)
-                hit = np.flatnonzero((score == np.repeat(top, size)) & ok)
-                nodes, place = np.unique(of[hit], return_index=True)
-                better = top[np.searchsorted(of[first], nodes)] > best[nodes]
-                nodes, place = nodes[better], hit[place[better]]
-                best[nodes], at[nodes], cut[nodes] = score[place], f, ranks[r[place], f]
+            tried = np.sort(order[todo, start : start + tries], axis=1)
+            t = tried.shape[1]
+            slot = np.full(m, -1)
+            slot[todo] = np.arange(len(todo))
+            own = slot[node] >= 0
+            r, of = rows[own], slot[node[own]]
+            group = (of[:, None] * t + np.arange(t)).ravel()
+            key = group * most + ranks[r[:, None], tried[of]].ravel()
+            by = np.argsort(key)
+            key, group, r = key[by], group[by], np.repeat(r, t)[by]
+            first = np.append(0, np.flatnonzero(group[1:] != group[:-1]) + 1)
+            size = np.diff(np.append(first, len(r)))
+            pw, p1 = weight[r], ones[r]
+            lw, l1, ln = np.cumsum(pw), np.cumsum(p1), np.arange(1, len(r) + 1)
+            base = np.repeat(first, size)
+            lw, l1, ln = lw - (lw[base] - pw[base]), l1 - (l1[base] - p1[base]), ln - base
+            total, total1 = w[todo][group // t], w1[todo][group // t]
+            rw, r1 = total - lw, total1 - l1
+            ok = (ln >= min_leaf) & (np.repeat(size, size) - ln >= min_leaf)
+            ok[:-1] &= key[1:] != key[:-1]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                score = (l1 * l1 + (lw - l1) ** 2) / lw + (r1 * r1 + (rw - r1) ** 2) / rw
+            score = np.where(ok, score, -np.inf)
+            top = np.maximum.reduceat(score, first).reshape(-1, t)
+            # sums that differ by rounding only are ties
+            choice = (top >= top.max(axis=1, keepdims=True) * (1 - 1e-12)).argmax(axis=1)
+            top = top[np.arange(len(todo)), choice]
+            found = np.flatnonzero(np.isfinite(top))
+            if not len(found):
+                continue
+            # the first boundary of the chosen group that has its best score
+            chosen = found * t + choice[found]
+            wanted = np.full(len(first), np.inf)
+            wanted[chosen] = top[found] * (1 - 1e-12)
+            hit = np.flatnonzero(ok & (score >= np.repeat(wanted, size)))
+            _, place = np.unique(group[hit], return_index=True)
+            k = todo[found]
+            best[k], at[k] = top[found], tried[found, choice[found]]
+            cut[k] = key[hit[place]] % most
         split = np.flatnonzero(at >= 0)
         # child slots 2k and 2k + 1 of the k-th split node
         slot = np.full(m, -1)
@@ -183,8 +193,7 @@ class Forest:
             chosen = self.subtrees.drop("gains")
             if parts > 1:
                 chosen = chosen.filter(F.pmod(F.xxhash64("tree", "node"), F.lit(parts)) == k)
-            rows = [(r["tree"], r["node"], Tree(np.array(r["feature"], np.int32), np.array(r["threshold"]), np.array(r["left"], np.int32),
-                                                np.array(r["right"], np.int32), np.array(r["value"]))) for r in chosen.collect()]
+            rows = _trees_of(chosen.toArrow())
             share = _shares(sc.broadcast(rows), tops, width, trees, k == 0)  # about group_bytes
             done = done.withColumn(out, F.col(out) + share(F.col(features)))
             if parts > 1:
@@ -224,6 +233,12 @@ class Forest:
         return Forest(ForestParams(**meta["params"]), tops, spark.read.schema(SUBTREES).parquet(f"{path}/subtrees"), meta["n_features"])
 
 
+def _trees_of(t: pa.Table) -> list[tuple[int, int, Tree]]:
+    """(tree, node, subtree) of the rows of a table of subtrees."""
+    cols = [[c.values.to_numpy() for c in t[name]] for name in ("feature", "threshold", "left", "right", "value")]
+    return [(tree, node, Tree(*own)) for tree, node, *own in zip(t["tree"].to_pylist(), t["node"].to_pylist(), *cols, strict=True)]
+
+
 def _shares(held, tops: list[Tree], width: int, trees: int, with_tops: bool):
     """What the broadcast subtrees (and the leaves of ``tops``) add to the mean
     over ``trees`` trees of each row."""
@@ -306,23 +321,27 @@ def _whole_trees(table: DataFrame, width: int, tries: int, classes: tuple[float,
     """Every tree from its root, several trees to a task."""
     units = max(1, min(p.trees, 2 * table.sparkSession.sparkContext.defaultParallelism))
 
-    def grow(t: pa.Table) -> pa.Table:
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)  # all rows of the table, at most ``local_rows``
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
         unit = t["unit"][0].as_py()
         ids, y, x = _columns(t, width)
-        rows = []
         for tree in range(unit, p.trees, units):
             times = bootstrap(ids, tree, p.seed)
             own = times > 0
-            if not own.any():  # a sample without rows has a leaf of nothing
-                rows.append(_subtree_row(tree, 0, Tree.root(0.0), np.zeros(width)))
-                continue
-            w = times[own] * np.where(y[own] > 0, classes[1], classes[0])
-            rng = np.random.default_rng([p.seed, tree, 0])
-            rows.append(_subtree_row(tree, 0, *grow_local(x[own], y[own], w, p.min_leaf, p.max_depth, tries, rng)))
-        return _subtree_table(rows)
+            if own.any():
+                w = times[own] * np.where(y[own] > 0, classes[1], classes[0])
+                rng = np.random.default_rng([p.seed, tree, 0])
+                grown = grow_local(x[own], y[own], w, p.min_leaf, p.max_depth, tries, rng)
+            else:  # a sample without rows has a leaf of nothing
+                grown = Tree.root(0.0), np.zeros(width)
+            yield from _subtree_table([_subtree_row(tree, 0, *grown)]).to_batches()
 
+    # a partition for each unit, so that no task gets two while others get none
     dealt = table.withColumn("unit", F.explode(F.sequence(F.lit(0), F.lit(units - 1))))
-    return dealt.groupBy("unit").applyInArrow(grow, SUBTREES)
+    return dealt.repartitionById(units, F.col("unit")).mapInArrow(grow, SUBTREES)
 
 
 def _histograms(bins: DataFrame, asked: list[tuple[int, int]], trees: dict[int, Tree], allowed: np.ndarray,

@@ -268,6 +268,8 @@ def column_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     found: dict[int, list[tuple[int, int]]] = {i: [(0, -1)] for i in range(len(cols))}
     for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
         first = shift == 64 - DIGIT_BITS
+        if not found:
+            break
         asked = {i: sorted({p for p, _ in own}) for i, own in found.items()}
         counts = numbers.mapInArrow(_digit_counts(asked, shift), "c int, p int, d int, n bigint").groupBy("c", "p", "d").agg(F.sum("n").alias("n"))
         by = Window.partitionBy("c", "p")
@@ -277,11 +279,11 @@ def column_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         if first:  # the middle ranks follow from the number of values
             ranks = F.array(F.expr("(total - 1) div 2"), F.expr("total div 2"))
         else:
-            ranks = F.array(F.lit(-1).cast("bigint"))
+            inside = []
             for i, own in found.items():
                 for k, p in enumerate(asked[i]):
-                    inside = F.array(*[F.lit(r).cast("bigint") for q_, r in own if q_ == p])
-                    ranks = F.when((F.col("c") == i) & (F.col("p") == k), inside).otherwise(ranks)
+                    inside += [F.lit(2 * i + k), F.array(*[F.lit(r).cast("bigint") for prefix, r in own if prefix == p])]
+            ranks = F.element_at(F.create_map(*inside), 2 * F.col("c") + F.col("p"))
         hit = placed.withColumn("rank", F.explode(ranks)).filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
         rows = hit.select("c", "p", "d", (F.col("rank") - (F.col("upto") - F.col("n"))).alias("inside")).collect()  # two per column
         found = {}
