@@ -10,7 +10,8 @@ rows are sampled per tree and features per tree.
 One level of a tree is one pass over the binned table: tasks add up their
 rows in numpy histograms over (node, feature, bin), Spark sums these (one
 shuffle of at most nodes x features x bins rows a task), running sums over the
-bins give every split's gain, and one best split per node reaches the driver.
+bins give every split's gain, and the best split per node and feature reaches
+the driver.
 Margins are written again every ``refresh`` trees; the trees since then are
 evaluated in the pass. Sums are integers, so lost and repeated tasks or other
 partitionings give the same trees.
@@ -143,8 +144,8 @@ def _histograms(table: DataFrame, pending: list[Tree], tree: Tree, open_nodes: l
 
 
 def best_splits(histograms: DataFrame, p: BoostParams) -> list:
-    """One row per open node: sums, and the best split if there is one. Ties
-    go to the lowest feature, then the lowest bin."""
+    """Per open node its sums, and the best split if there is one. Ties go to
+    the lowest feature, then the lowest bin."""
     sums = histograms.repartition("slot", "feature").groupBy("slot", "feature", "bin").agg(
         (F.sum("s0") / SCALE).alias("g"), (F.sum("s1") / SCALE).alias("h"))
     whole = Window.partitionBy("slot", "feature")
@@ -156,9 +157,16 @@ def best_splits(histograms: DataFrame, p: BoostParams) -> list:
     gain = part(F.col("gl"), F.col("hl")) + part(gr, hr) - part(F.col("g"), F.col("h"))
     allowed = (F.col("hl") >= p.min_child_weight) & (hr >= p.min_child_weight) & (gain > LEAST_GAIN)
     s = s.withColumn("gain", F.when(allowed, gain))
-    choice = F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), "gl", "hl")
-    return s.groupBy("slot").agg(F.max(F.when(F.col("gain").isNotNull(), choice)).alias("best"),
-                                 F.max(F.struct(-F.col("feature"), F.col("g"), F.col("h"))).alias("sums")).collect()
+    # one row per node and feature comes back, from the same partitions
+    own = s.groupBy("slot", "feature").agg(
+        F.max(F.when(F.col("gain").isNotNull(), F.struct("gain", (-F.col("bin")).alias("b"), "gl", "hl"))).alias("best"),
+        F.first("g").alias("g"), F.first("h").alias("h")).collect()
+    out: dict[int, dict] = {}
+    for r in sorted(own, key=lambda r: (r["slot"], r["feature"])):
+        node = out.setdefault(r["slot"], {"slot": r["slot"], "sums": {"g": r["g"], "h": r["h"]}, "best": None})
+        if r["best"] is not None and (node["best"] is None or r["best"]["gain"] > node["best"]["gain"]):
+            node["best"] = {**r["best"].asDict(), "f": r["feature"], "b": -r["best"]["b"]}
+    return list(out.values())
 
 
 def grow(table: DataFrame, pending: list[Tree], features: list[int], width: int, p: BoostParams, row_seed: int
@@ -176,7 +184,7 @@ def grow(table: DataFrame, pending: list[Tree], features: list[int], width: int,
             g, h = r["sums"]["g"], r["sums"]["h"]
             sums[node] = (g, h)
             if best is not None:
-                kids = tree.split(node, -best["f"], -best["b"])
+                kids = tree.split(node, best["f"], best["b"])
                 gain[node] = best["gain"]
                 sums[kids[0]], sums[kids[1]] = (best["gl"], best["hl"]), (g - best["gl"], h - best["hl"])
                 following += kids

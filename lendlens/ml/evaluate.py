@@ -44,7 +44,7 @@ def auc_from_roc(roc: DataFrame) -> DataFrame:
     """M8: area under the ROC curve from the curve rows (one aggregate)."""
     neg, tps, pos = (F.col(c).cast("double") for c in ("neg", "tps", "pos"))
     part = neg * (2 * tps - pos)  # DOUBLE: the product of two counts outgrows BIGINT
-    return roc.agg((F.sum(part) / (2.0 * F.sum(neg) * F.max(tps))).alias("auc"))
+    return roc.agg(F.try_divide(F.sum(part), 2.0 * F.sum(neg) * F.max(tps)).alias("auc"))  # one class: NULL
 
 
 def youden_threshold(roc: DataFrame) -> DataFrame:

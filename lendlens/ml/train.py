@@ -176,7 +176,7 @@ def select_features(table: DataFrame, label: str = "approved", seed: int = 42,
     from lendlens.ml.features import reduce_high_cardinality
     spark = table.sparkSession
     df = drop_existing(table, codes.SELECTION_DROP)
-    df = reduce_high_cardinality(df, [c for c, t in df.dtypes if t == "string"])
+    df = reduce_high_cardinality(df, [c for c, t in df.dtypes if t == "string" and c != id_col])
     if not id_col:
         df = materialize(with_row_id(df), "selection")
     key = id_col or ROW_ID

@@ -1044,7 +1044,7 @@ def q_fixed_group_gaps(spark, sf):
 _MODELS: dict = {}
 #: Boosting rounds of the registered queries; the operator's default is 500
 #: (README: measured times).
-QUERY_ROUNDS = 50
+QUERY_ROUNDS = 20
 
 
 def trained(spark, sf, kind: str):
