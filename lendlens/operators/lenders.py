@@ -19,6 +19,7 @@ from lendlens.functions import exprs as X
 from lendlens.operators import joins
 from lendlens.operators.filters import good_key
 from lendlens.operators.window import global_row_number
+from lendlens.session import materialize
 from lendlens.sources.tables import q
 
 
@@ -49,12 +50,14 @@ def approval_summary(apps: DataFrame, registry: DataFrame | None = None,
                      key: str = "lei", action: str = "action_taken",
                      approved_code: int = 1, denied_code: int = 3,
                      min_apps: int = codes.MIN_APPS,
-                     unknown_name: str | None = codes.UNKNOWN_NAME) -> DataFrame:
+                     unknown_name: str | None = codes.UNKNOWN_NAME,
+                     strategy: str | None = None) -> DataFrame:
     """A1 (+J1): approvals, denials, totals and rates per lender.
 
     Lenders with fewer than ``min_apps`` decided applications are dropped
     (HAVING). With a registry, the first name per key is attached (left
-    join) and missing names become ``unknown_name`` (NULL kept if None).
+    join, ``strategy`` as in ``lookup_join``) and missing names become
+    ``unknown_name`` (NULL kept if None); the counts are written once for it.
     """
     act = X.to_int(q(action)) if dict(apps.dtypes)[action] == "string" else q(action)
     facts = (apps
@@ -73,8 +76,9 @@ def approval_summary(apps: DataFrame, registry: DataFrame | None = None,
                .withColumn("approval_rate_pct", X.percent("approval_rate", 2))
                .withColumn("denial_rate_pct", X.percent("denial_rate", 2)))
     if registry is not None:
-        names = registry_dedup(registry)
-        summary = joins.lookup_join(summary, names, "lei", "lei", "left")
+        summary = joins.lookup_join(materialize(summary, "lender-counts"), clean_registry(registry), "lei", "lei",
+                                    reduce_dim=lambda d: joins.dedup_first_name(d, "lei", "legal_name"),
+                                    strategy=strategy)
         if unknown_name is not None:
             summary = summary.withColumn("name_found", F.col("legal_name").isNotNull())
             summary = summary.withColumn("legal_name", F.coalesce("legal_name", F.lit(unknown_name)))
@@ -98,13 +102,14 @@ LEAGUE_ORDERS = {
 
 def league_table(summary: DataFrame, by: str, key: str = "lei",
                  named_only: bool = False, name_col: str = "legal_name",
-                 unknown_name: str = codes.UNKNOWN_NAME) -> DataFrame:
+                 unknown_name: str = codes.UNKNOWN_NAME, written: bool = False) -> DataFrame:
     """O1/O2: the summary ranked by one of ``LEAGUE_ORDERS`` (1 = top)."""
     df = summary
     if named_only:
         df = df.filter(q(name_col) != unknown_name)
     order = [F.col(c).desc_nulls_last() for c in LEAGUE_ORDERS[by]] + [F.col(key).asc()]
-    return global_row_number(df, order, name="rank").withColumn("rank", F.col("rank").cast("int"))  # lenders fit INT
+    ranked = global_row_number(df, order, name="rank", written=written)
+    return ranked.withColumn("rank", F.col("rank").cast("int"))  # lenders fit INT
 
 
 def unmatched_lenders(summary: DataFrame) -> DataFrame:
@@ -120,14 +125,13 @@ def lender_rankings(apps: DataFrame, registry: DataFrame | None,
     the other ten tables read that copy instead of aggregating the
     applications again, and a lost executor recomputes nothing upstream.
     """
-    from lendlens.session import materialize
     summary = materialize(approval_summary(apps, registry, min_apps=min_apps), "lender-summary")
     tables = {"lender_summary": summary,
               "named_summary": summary.filter(q("legal_name") != codes.UNKNOWN_NAME)}
     for by in LEAGUE_ORDERS:
-        tables[f"top_by_{by}"] = league_table(summary, by)
+        tables[f"top_by_{by}"] = league_table(summary, by, written=True)
     for by in LEAGUE_ORDERS:
-        tables[f"named_top_by_{by}"] = league_table(summary, by, named_only=True)
+        tables[f"named_top_by_{by}"] = league_table(summary, by, named_only=True, written=True)
     tables["unmatched_lenders"] = unmatched_lenders(summary)
     return tables
 
@@ -185,14 +189,16 @@ def fairness_table(apps: DataFrame, registry: DataFrame | None = None,
                    groups: Mapping[str, str] = FAIRNESS_GROUPS,
                    reference: str = "white", score_group: str = "black",
                    min_counts: Mapping[str, int] | None = None,
-                   dedup_registry: bool = False, digits: int = 4) -> DataFrame:
+                   dedup_registry: bool = False, digits: int = 4,
+                   strategy: str | None = None) -> DataFrame:
     """A4: per-lender approval rate and count per group, gap of each group
     to the reference group, fairness score, minimum-count filter, names,
     1-based rank by fairness score.
 
     ``min_counts`` maps short group names to a minimum count (the reference
     uses 100 for White and Black). ``dedup_registry=False`` reproduces the
-    reference's join to an un-deduplicated registry (one row per name).
+    reference's join to an un-deduplicated registry (one row per name);
+    ``strategy`` as in ``lookup_join``.
     """
     lenders = fairness_stats(apps, key, group, action, groups, reference, score_group,
                              min_counts, digits)
@@ -202,14 +208,16 @@ def fairness_table(apps: DataFrame, registry: DataFrame | None = None,
         reg = reg.select("lei", F.col("legal_name").alias("institution_name"),
                          q("Entity.LegalAddress.City").alias("city"),
                          q("Entity.LegalAddress.Region").alias("state"))
-        if dedup_registry:
-            # one row per key: the first name in sort order (NULL names last),
-            # then city and state — a total order, so the pick is deterministic
-            first = F.min(F.struct(F.col("institution_name").isNull().alias("_nl"),
-                                   "institution_name", "city", "state"))
-            reg = reg.groupBy("lei").agg(first.alias("_r")).select(
+        # one row per key: the first name in sort order (NULL names last),
+        # then city and state — a total order, so the pick is deterministic
+        first = F.min(F.struct(F.col("institution_name").isNull().alias("_nl"),
+                               "institution_name", "city", "state"))
+
+        def one_name(d):
+            return d.groupBy("lei").agg(first.alias("_r")).select(
                 "lei", "_r.institution_name", "_r.city", "_r.state")
-        lenders = joins.lookup_join(lenders, reg, "lei", "lei", "left")
+        lenders = joins.lookup_join(materialize(lenders, "lender-rates"), reg, "lei", "lei", strategy=strategy,
+                                    reduce_dim=one_name if dedup_registry else None)
     else:
         lenders = (lenders.withColumn("institution_name", F.lit(None).cast("string"))
                    .withColumn("city", F.lit(None).cast("string"))

@@ -48,10 +48,12 @@ def _offsets(parted: DataFrame, aggs: dict[str, Column]) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, written: bool = False) -> DataFrame:
     """1-based BIGINT row number in the total order ``order`` (ties broken by the
-    caller: pass enough keys for a total order)."""
-    df = materialize(df, "rank-input")
+    caller: pass enough keys for a total order). ``written``: the input is a
+    written table, or rows and columns of one, and is not written again."""
+    if not written:
+        df = materialize(df, "rank-input")
     parted = range_partitioned(df, order, num_partitions)
     offsets = _offsets(parted, {"n": F.count(F.lit(1))})
     local = F.row_number().over(Window.partitionBy(_PID).orderBy(*order))

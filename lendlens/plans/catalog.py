@@ -205,6 +205,38 @@ def q_lender_summary(spark, sf):
     return lenders.approval_summary(_apps(spark, sf), _registry(spark, sf))
 
 
+_STRATEGIES = ("stream", "broadcast", "bloom")
+
+
+@register("registry_lookup", _summary_sql() + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{s}' AS strategy, summary.* FROM summary" for s in _STRATEGIES))
+def q_registry_lookup(spark, sf):
+    """The lender summary by each way of meeting the registry, also those that
+    measured sizes would not choose for the fixture."""
+    from functools import reduce
+
+    from lendlens.operators import lenders
+    parts = [lenders.approval_summary(_apps(spark, sf), _registry(spark, sf), strategy=s)
+             .select(F.lit(s).alias("strategy"), "*") for s in _STRATEGIES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _fairness_lookup_sql() -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{s}' AS strategy, x.* FROM ({_fairness_sql(FIXTURE_MIN_COUNT)}) x" for s in _STRATEGIES)
+
+
+@register("registry_fan_out", _fairness_lookup_sql())
+def q_registry_fan_out(spark, sf):
+    """The fairness table (one row per name of a lender) by each way."""
+    from functools import reduce
+
+    from lendlens.operators import lenders
+    counts = {"white": FIXTURE_MIN_COUNT, "black": FIXTURE_MIN_COUNT}
+    parts = [lenders.fairness_table(_apps(spark, sf), _registry(spark, sf), min_counts=counts, strategy=s)
+             .select(F.lit(s).alias("strategy"), "*") for s in _STRATEGIES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("unmatched_lenders", _summary_sql() + "\nSELECT * FROM summary WHERE NOT name_found")
 def q_unmatched_lenders(spark, sf):
     from lendlens.operators import lenders
@@ -1152,13 +1184,7 @@ def q_fair_profile_scores(spark, sf):
 # ==========================================================================
 # S4 incremental landing (Structured Streaming, rows + oracle on values)
 # ==========================================================================
-@register("land_incremental", f"""{O.with_tables('applications')}
-SELECT {", ".join(f"CAST({O.qi(c)} AS VARCHAR) AS {O.qi(c)}" for c in O.APP_COLUMNS)}
-FROM applications""")
-def q_land_incremental(spark, sf):
-    """Deliver the early years, land; deliver the rest, land again (only the
-    new files are read); a third run finds nothing new. Returns the landed
-    table (all columns as delivered text)."""
+def _land_in_steps(spark, sf):
     from lendlens.streaming.landing import incremental_demo_paths, land_incremental, stage_yearly_csv
     apps = _apps(spark, sf)
     cols = [c for c in apps.columns]
@@ -1171,5 +1197,25 @@ def q_land_incremental(spark, sf):
     third = land_incremental(spark, p["raw"], p["target"], p["checkpoint"], cols)
     if third != 0 or first <= 0:
         raise RuntimeError(f"incremental landing re-read files: {first}, {second}, {third}")
-    landed = spark.read.parquet(p["target"])
+    return p["target"]
+
+
+@register("land_incremental", f"""{O.with_tables('applications')}
+SELECT {", ".join(f"CAST({O.qi(c)} AS VARCHAR) AS {O.qi(c)}" for c in O.APP_COLUMNS)}
+FROM applications""")
+def q_land_incremental(spark, sf):
+    """Deliver the early years, land; deliver the rest, land again (only the
+    new files are read); a third run finds nothing new. Returns the landed
+    table (all columns as delivered text)."""
+    landed = spark.read.parquet(_land_in_steps(spark, sf))
     return landed.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in O.APP_COLUMNS])
+
+
+@register("landing_manifest", f"""{O.with_tables('applications')}
+SELECT CAST(activity_year AS VARCHAR) AS activity_year, count(*) AS rows
+FROM applications GROUP BY 1""")
+def q_landing_manifest(spark, sf):
+    """Rows per year of the landed files, added up from the manifest."""
+    from lendlens.streaming.landing import landing_manifest
+    per_file = landing_manifest(spark, _land_in_steps(spark, sf))
+    return per_file.groupBy(F.col("activity_year").cast("string").alias("activity_year")).agg(F.sum("rows").alias("rows"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +18,31 @@ from lendlens.functions import codes
 # --------------------------------------------------------------------------
 # scans
 # --------------------------------------------------------------------------
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Header names of a CSV source, read from the first line only."""
-    first = spark.read.option("header", "false").csv(path).limit(1).collect()
-    return [str(v) for v in first[0]] if first else []
+def csv_headers(spark: SparkSession, files: Sequence[str], threads: int = 32) -> list[tuple[str, ...] | None]:
+    """Header names of each CSV file (``None``: an empty file). Only first lines
+    are read, by file-system calls side by side (as Spark lists files itself):
+    no job, whatever the number and size of the files."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(file: str) -> tuple[str, ...] | None:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            source = codec.createInputStream(stream) if codec is not None else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        return tuple(next(csv.reader([line]))) if line else None
+
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(first_line, files))
+
+
+def _files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Files of a source as Spark lists them, as URIs, in order of their names."""
+    return sorted(spark.read.schema("line string").text(path).inputFiles())
 
 
 def read_csv_table(spark: SparkSession, path: str | Sequence[str],
@@ -39,7 +63,8 @@ def read_csv_table(spark: SparkSession, path: str | Sequence[str],
         for part in parts[1:]:
             df = df.unionByName(part, allowMissingColumns=True)
     else:
-        names = list(header) if header is not None else _header(spark, paths[0])
+        names = list(header) if header is not None else next(
+            (h for f in _files(spark, paths) for h in csv_headers(spark, [f]) if h), ())
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
         # files of one source must agree on the header: the reader checks it
         df = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
@@ -74,16 +99,41 @@ def load_years(spark: SparkSession, base: str, years: Sequence[int],
                pattern: str = "{base}/year={year}", fmt: str = "csv",
                year_col: str = "year") -> DataFrame:
     """Read one file set per year, any file name pattern, with a literal
-    year column; union by column name (a column that a year lacks is NULL)."""
-    out = None
+    year column; union by column name (a column that a year lacks is NULL).
+
+    CSV files may differ in their headers, inside a year too: there is one read
+    per year and distinct header, whatever the number of files. A filter on the
+    literal year drops the reads of all other years."""
+    parts = []
     for y in years:
         path = pattern.format(base=base, year=y)
-        df = read_csv_table(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
-        df = df.withColumn(year_col, F.lit(int(y)))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        if fmt != "csv":
+            reads = [spark.read.format(fmt).load(path)]
+        else:
+            files = _files(spark, path)
+            headers = csv_headers(spark, files)
+            sets: dict[tuple, list[str]] = {}
+            for file, header in zip(files, headers, strict=True):
+                if header:
+                    sets.setdefault(header, []).append(file)
+            if len(sets) == 1:
+                reads = [read_csv_table(spark, path, header=header) for header in sets]
+            else:  # explicit files: their names are no patterns
+                reads = [read_csv_table(spark, [_exact(f) for f in some], header=header) for header, some in sets.items()]
+        parts += [df.withColumn(year_col, F.lit(int(y))) for df in reads]
+    if not parts:
+        raise ValueError(f"no file with a header for the years {list(years)}")
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
     return out
 
 
+def _exact(uri: str) -> str:
+    """A listed file as a path that matches this file alone."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(uri))
+
+
 # --------------------------------------------------------------------------
 # sinks
 # --------------------------------------------------------------------------

@@ -113,9 +113,54 @@ def test_lookup_join_small_facts_against_large_dimension(spark):
     dim = spark.createDataFrame([("A", "x")] * 5 + [("B", "y"), ("D", "z")], "lei string, name string")
     for how in ("left", "inner"):
         plain = facts.join(dim.withColumnRenamed("lei", "_r"), F.col("lei") == F.col("_r"), how).drop("_r")
-        split = joins.lookup_join(facts, dim, "lei", "lei", how, max_broadcast_rows=5)
-        assert split.columns == plain.columns
-        assert sorted(split.collect(), key=str) == sorted(plain.collect(), key=str)
+        one = facts.join(joins.dedup_first_name(dim, "lei", "name").withColumnRenamed("lei", "_r"),
+                         F.col("lei") == F.col("_r"), how).drop("_r")
+        for strategy in (None, "stream", "broadcast", "bloom"):
+            split = joins.lookup_join(facts, dim, "lei", "lei", how, max_broadcast_rows=5, strategy=strategy)
+            assert split.columns == plain.columns
+            assert sorted(split.collect(), key=str) == sorted(plain.collect(), key=str)
+            reduced = joins.lookup_join(facts, dim, "lei", "lei", how, strategy=strategy,
+                                        reduce_dim=lambda d: joins.dedup_first_name(d, "lei", "name"))
+            assert sorted(reduced.collect(), key=str) == sorted(one.collect(), key=str)
+            other = joins.lookup_join(facts, dim.withColumnRenamed("lei", "LEI2"), "lei", "LEI2", how, False, strategy=strategy)
+            assert other.columns == ["lei", "n", "LEI2", "name"] and other.count() == plain.count()
+        none = joins.lookup_join(facts.limit(0), dim, "lei", "lei", how, strategy="bloom")
+        assert none.count() == 0
+
+
+def test_strategy_follows_measured_bytes(spark):
+    """Rows of long texts count by their real length."""
+    from lendlens.operators import joins
+    narrow = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    wide = narrow.withColumn("text", F.repeat(F.lit("x"), 100_000))
+    assert joins.fits(joins.measured(narrow)) and not joins.fits(joins.measured(wide))
+    assert joins.measured(narrow.limit(0)) == (0, 0)
+    n, b = joins.measured(wide)
+    assert n == 1000 and 1000 * 100_000 < b < 1000 * 100_100
+
+
+def test_bloom_filter_keeps_every_key_and_few_others(spark):
+    from lendlens.operators import joins
+    keys = spark.range(20_000).select(F.concat(F.lit("K"), F.col("id") * 7).alias("k"))
+    bloom = joins.bloom_filter(keys.union(keys.limit(10)).union(spark.createDataFrame([(None,)], "k string")), "k", 20_011)
+    assert bloom.blocks == 7
+    assert joins.bloom_keep(keys, "k", bloom).count() == 20_000
+    others = spark.range(50_000).select(F.concat(F.lit("X"), F.col("id")).alias("k"))
+    assert joins.bloom_keep(others, "k", bloom).count() < 1_500
+    assert joins.bloom_keep(spark.createDataFrame([(None,)], "k string"), "k", bloom).count() == 0
+    assert joins.bloom_filter(keys, "k", 10**9) is None
+
+
+def test_registry_rows_meet_the_bloom_filter_before_any_shuffle(spark):
+    from lendlens.operators import joins
+    facts = spark.createDataFrame([("A", 1), ("B", 2)], "lei string, n int")
+    dim = spark.range(1000).select(F.col("id").cast("string").alias("lei"), F.lit("x").alias("name"))
+    out = joins.lookup_join(facts, dim, "lei", "lei", "inner", strategy="bloom",
+                            reduce_dim=lambda d: joins.dedup_first_name(d, "lei", "name"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    side = plan[:plan.index("Range (")]
+    filtered = side.rindex("BroadcastHashJoin")
+    assert "hashpartitioning(_rkey" not in side[filtered:] and "hashpartitioning(lei" not in side[filtered:]
 
 
 def test_column_medians_match_exact_median(spark):
