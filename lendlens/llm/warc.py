@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from lendlens.llm.common import cut, shared_folder, small, table
 
 ID_BLOCKS = 4096
+#: Shards whose files one task moves to their final names.
+MOVES = 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:x-page:"
 FILES = ("shard int, seq int, name string, temporary string, bytes bigint, records bigint, sha256 string")
@@ -116,6 +118,11 @@ def assign_shards(rows: DataFrame, block: Column, ranges: DataFrame) -> DataFram
         (F.col("first") + part).cast("int").alias("shard"), *rows.columns)
 
 
+def one_shard_a_task(rows: DataFrame, n: int) -> DataFrame:
+    """Range-sorted: task k gets shard k (an id range) whole, in order of ids."""
+    return rows.repartitionById(n, "shard").sortWithinPartitions("shard", "page", "key", F.col("owner").asc_nulls_last(), "url")
+
+
 def write_archive(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                   min_revisit: int = 1000, file_bytes: int = 64 << 20, shard_bytes: int = 128 << 20,
                   date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -182,9 +189,8 @@ def write_archive(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
                     raise OSError(f"{final} is not the file that was written")
             yield batch
 
-    ordered = rows.repartition(n, "shard").sortWithinPartitions("shard", "page", "key", F.col("owner").asc_nulls_last(), "url")
-    files = cut(ordered.mapInPandas(write, FILES), "warc-files")
-    moved = files.mapInPandas(move, FILES).drop("temporary").coalesce(1)
+    files = cut(one_shard_a_task(rows, n).mapInPandas(write, FILES), "warc-files")
+    moved = files.repartition(-(-n // MOVES), "name").mapInPandas(move, FILES).drop("temporary")
     spark = df.sparkSession
     moved.write.json(f"{folder}/manifest.temporary")
     path = spark._jvm.org.apache.hadoop.fs.Path

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from lendlens.llm.common import shared_folder
-from lendlens.llm.warc import OP9_SQL, op9_warc, read_archive, read_manifest, write_archive
+from lendlens.llm.warc import OP9_SQL, one_shard_a_task, op9_warc, read_archive, read_manifest, write_archive
 
 from ..compare import compare, duck
 from ..conftest import SF_SMALL
@@ -48,3 +48,11 @@ def test_same_rows_same_files(spark):
 def test_empty_table(spark):
     folder = shared_folder(spark, "warc")
     assert write_archive(pages(spark, []), folder).count() == 0 and read_archive(spark, folder).count() == 0
+
+
+def test_one_shard_a_task(spark):
+    rows = spark.range(4000).select((F.col("id") % 40).cast("int").alias("shard"), F.col("id").alias("page"),
+                                    F.lit("k").alias("key"), F.lit(None).cast("long").alias("owner"), F.lit("u").alias("url"))
+    placed = one_shard_a_task(rows, 40).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count_distinct("shard").alias("shards"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(placed) == 40 and {(r["shards"], r["n"]) for r in placed} == {(1, 100)}
