@@ -28,11 +28,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import fresh, per_text, small, table
+from lendlens.llm.common import cut, drop, fresh, per_text, small, table
 
 BUCKETS = 1 << 14
 #: Training texts per language that the centroids are fitted on, at most.
 PER_LANGUAGE = 1000
+#: Hashes of which the lowest are taken, and the digits that narrow them down.
+HASH_BITS, DIGIT_BITS = 60, 12
 UNKNOWN = "und"
 PIECE = 1 << 20
 
@@ -87,6 +89,33 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarra
     return c, (x @ c.T).max(1)
 
 
+def lowest(hashes: DataFrame, k: int) -> DataFrame:
+    """(label, most): the ``k``-th lowest distinct ``h`` of each label, or the
+    highest where there are fewer. Each task hands on its own ``k`` lowest a label;
+    these are narrowed down digit by digit, by counts that are added up in the
+    tasks, so no label is sorted or met whole anywhere."""
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for label, some in batch.groupby("label")["h"]:
+                kept[label] = np.unique(np.append(kept.get(label, np.empty(0, np.int64)), some.to_numpy(np.int64)))[:k]
+        for label, some in kept.items():
+            yield pd.DataFrame({"label": label, "h": some})
+
+    low = cut(hashes.mapInPandas(own, "label string, h bigint").distinct(), "lowest")
+    found = low.groupBy("label").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("need")).withColumn("prefix", F.lit(0).cast("long"))
+    for shift in range(HASH_BITS - DIGIT_BITS, -1, -DIGIT_BITS):
+        here = low.join(small(found), "label").filter(F.shiftright("h", shift + DIGIT_BITS) == F.col("prefix"))
+        counts = here.groupBy("label", "need", F.shiftright("h", shift).alias("next")).agg(F.count(F.lit(1)).alias("n"))
+        # at most 2 ** DIGIT_BITS rows a label
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("label").orderBy("next")))
+        found = cut(upto.filter(F.col("upto") >= F.col("need")).groupBy("label").agg(
+            F.min(F.struct("next", (F.col("need") - F.col("upto") + F.col("n")).alias("need"))).alias("at")).select(
+            "label", "at.need", F.col("at.next").alias("prefix")), "lowest-digits")
+    drop(low)
+    return found.select("label", F.col("prefix").alias("most"))
+
+
 def fit(train: DataFrame, text_col: str, label_col: str, id_col: str, clusters: int, per_language: int, reach: float,
         least: float) -> dict:
     """The model: idf, centroids, their languages and limits."""
@@ -108,16 +137,10 @@ def fit(train: DataFrame, text_col: str, label_col: str, id_col: str, clusters:
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    # the per_language-th lowest distinct hash of each language, found without
-    # moving texts: each task keeps its lowest first, so no language meets whole
-    h = F.xxhash64(F.col(id_col), F.col(text_col))
-    low = usable.select(F.col(label_col).alias("label"), h.alias("h"), F.spark_partition_id().alias("part"))
-    for by in (["label", "part"], ["label"]):
-        low = low.select(*by, "h").distinct().withColumn(
-            "r", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).filter(F.col("r") <= per_language)
-    limit = small(low.groupBy("label").agg(F.max("h").alias("most")))
-    sample = usable.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), h.alias("h")).join(limit, "label").filter(
-        F.col("h") <= F.col("most")).dropDuplicates(["label", "h"])
+    h = F.xxhash64(F.col(id_col), F.col(text_col)).bitwiseAND((1 << HASH_BITS) - 1)
+    limit = lowest(usable.select(F.col(label_col).alias("label"), h.alias("h")), per_language)
+    sample = usable.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), h.alias("h")).join(
+        small(limit), "label").filter(F.col("h") <= F.col("most")).dropDuplicates(["label", "h"])
 
     def centroids(key, rows: pd.DataFrame) -> pd.DataFrame:
         """k-means over one language's sample: at most per_language texts."""

@@ -33,3 +33,18 @@ def test_awkward_rows(spark):
         assert (r["language_"]["label"] == "und") == (not letters)
     assert language_id(cases.empty(spark), train).count() == 0
     assert {r["language"]["label"] for r in language_id(df.drop("language"), cases.empty(spark)).collect()} == {"und"}
+
+
+def test_lowest_hashes_are_found_without_sorting(spark):
+    import random
+
+    from lendlens.llm.langid import HASH_BITS, lowest
+    rnd = random.Random(3)
+    rows = [(label, h) for label, n in (("a", 900), ("b", 40), ("c", 1)) for _ in range(n)
+            for h in [rnd.choice([rnd.getrandbits(HASH_BITS), rnd.getrandbits(20)])]]
+    rows += rows[:300] + [("a", 0), ("a", (1 << HASH_BITS) - 1)]
+    df = spark.createDataFrame(rows, "label string, h long").repartition(7)
+    for k in (1, 50, 5000):
+        want = {x: sorted({h for y, h in rows if y == x})[:k][-1] for x in "abc"}
+        assert {r["label"]: r["most"] for r in lowest(df, k).collect()} == want
+    assert lowest(df.limit(0), 5).count() == 0
