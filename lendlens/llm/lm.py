@@ -29,8 +29,9 @@ once has one table in every round, so only repeated pairs are drawn; they look
 up the token's price and the context's tables by joins, whose crowded keys
 Spark's skew handling deals to several tasks. Each block of documents asks
 for the tokens and pairs it holds and scores its documents with the answers.
-Only the byte restaurants are broadcast; their depth is the largest up to
-``CONTEXT`` at which at most ``ENTRIES`` entries are counted.
+Only the byte restaurants are broadcast. Their depth is the same at every size,
+and so low that the alphabet bounds them: ``SYMBOLS`` entries a context, and at
+most 256 ** ``CONTEXT`` contexts.
 
 Defined results: null and empty texts have the end token only. A null id is
 trained on and scored like others; repeated rows count as often as they
@@ -52,10 +53,8 @@ from pyspark.sql import functions as F
 
 from lendlens.llm.common import cut, drop, table
 
-#: Deepest context in bytes; and entries of the byte restaurants that may be
-#: broadcast: one byte less is used while there are more, down to FEWEST, whose
-#: entries are at most 257 * 256 ** 2.
-CONTEXT, FEWEST, ENTRIES = 4, 2, 4_000_000
+#: Deepest context in bytes.
+CONTEXT = 2
 END = b"\n"  # no word holds it; also fills contexts before a token's first byte
 SYMBOLS = 257  # bytes, and the end of a spelling
 EXACT = 32
@@ -250,14 +249,14 @@ def _token_hash(tokens: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(t) for t in tokens), np.uint64, len(tokens))
 
 
-def seat_bytes(customers: DataFrame, state: Bytes | None, words: dict, depth: int) -> tuple[Bytes, int]:
+def seat_bytes(customers: DataFrame, state: Bytes | None, words: dict) -> tuple[Bytes, int]:
     """Byte restaurants and number of tables of the token restaurant after a
     round. ``customers``: (word, c) of the token restaurant; ``words``: its
     sums and the round."""
     spark = customers.sparkSession
     shared = spark.sparkContext.broadcast((state, words))
 
-    def seat(batches: Iterator[pd.DataFrame], shared=shared, depth=depth) -> Iterator[pd.DataFrame]:
+    def seat(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
         model, sums = shared.value
         keys, n, all_tables = [np.empty(0, np.int64)], [np.empty(0)], 0
         for batch in batches:
@@ -265,7 +264,7 @@ def seat_bytes(customers: DataFrame, state: Bytes | None, words: dict, depth: in
             t = _tables(tokens, batch["c"].to_numpy(np.int64), model, sums)
             all_tables += int(t.sum())
             owner, context, symbol = spell(tokens)
-            some, at = np.unique((context % 256**depth << 9) + symbol, return_inverse=True)
+            some, at = np.unique((context % 256**CONTEXT << 9) + symbol, return_inverse=True)
             keys.append(some)
             n.append(np.bincount(at, t[owner]))
         some, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -273,15 +272,9 @@ def seat_bytes(customers: DataFrame, state: Bytes | None, words: dict, depth: in
         yield pd.DataFrame({"key": np.append(some, -1), "n": np.append(sums, all_tables)})
 
     seated = cut(customers.select("word", "c").mapInPandas(seat, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")), "seated")
-    if state is None:
-        while depth > FEWEST and seated.count() > ENTRIES:
-            shorter = F.when(F.col("key") < 0, F.col("key")).otherwise(
-                F.shiftleft(F.shiftright("key", 9) % (256 ** (depth - 1)), 9) + F.col("key").bitwiseAND(511))
-            depth -= 1
-            seated = cut(seated.groupBy(shorter.alias("key")).agg(F.sum("n").alias("n")), "seated")
     rows = np.fromiter((x for r in seated.toLocalIterator() for x in r), np.int64).reshape(-1, 2)
     keys, n = rows[np.argsort(rows[:, 0])].T
-    state = Bytes(keys[1:], depth) if state is None else _copy(state)
+    state = Bytes(keys[1:], CONTEXT) if state is None else _copy(state)
     state.sweep(n[1:], words["round"])
     shared.destroy()
     drop(seated)
@@ -339,7 +332,7 @@ def fit(counts: DataFrame, pairs: DataFrame, burn_in: int, samples: int) -> tupl
         sums = ends.agg(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
         words = {"N": sums[0], "d": discount(sums[1], sums[2]), "round": round_, "others": tables}
         used = state
-        state, tables = seat_bytes(ends, used, words, used.depth if used else CONTEXT)
+        state, tables = seat_bytes(ends, used, words)
         words["T"] = tables
         shared = counts.sparkSession.sparkContext.broadcast((state, used, words))
 
