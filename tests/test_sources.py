@@ -177,3 +177,33 @@ def test_no_file_with_a_header_is_an_error(spark, tmp_path):
     (tmp_path / "year=2019" / "a.csv").write_text("")
     with pytest.raises(ValueError, match="header"):
         TB.load_years(spark, str(tmp_path), [2019])
+
+
+def test_applications_are_numbered_before_they_are_widened(spark):
+    """Landing gives the rows and ids of the registered SQL, while its shuffles
+    and sorts see the joined source columns only."""
+    from lendlens.sources import adapter
+    from lendlens.sources.landing import ID_COLUMN, identity_sql, with_identity
+    from .conftest import SF_SMALL
+    assert adapter.LEI_SQL in adapter.APPLICATIONS_SQL and adapter.LOAN_AMOUNT_SQL in adapter.APPLICATIONS_SQL
+    bronze = adapter.bronze(spark, SF_SMALL, "applications")
+    want = bronze.select(F.expr(identity_sql("applications")).alias(ID_COLUMN), "*")
+    got = with_identity(spark, SF_SMALL, "applications")
+    assert got.dtypes == want.dtypes and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":  # the wide columns come after every sort and window
+        plan = plan.children().head()
+    assert plan.nodeName() == "Sort" and plan.output().size() < 25
+
+
+def test_code_columns_give_the_same_features_as_their_text(spark):
+    from lendlens.functions import codes
+    from lendlens.plans.hmda import MODEL_CODES, model_features_from
+    from lendlens.sources import adapter
+    from .conftest import SF_SMALL
+    apps = adapter.bronze(spark, SF_SMALL, "applications").select("action_taken", "activity_year", *[F.col(f"`{c}`") for c in codes.MODEL_FEATURES])
+    text = apps.withColumns({c: F.col(f"`{c}`").cast("string") for c in MODEL_CODES})
+    got, want = model_features_from(apps), model_features_from(text)
+    assert got.dtypes == want.dtypes and got.exceptAll(want).isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") < model_features_from(text)._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
