@@ -120,11 +120,14 @@ def model_features_from(apps: DataFrame, extra: tuple = ("action_taken", "activi
     """The 23 model features, typed and filled (text NULL → ``Missing``,
     exempt numerics → -1); NULL numerics stay NULL for median imputation."""
     df = normalize_na(apps)
+    types = dict(df.dtypes)
     sel = [q(c) for c in extra]
     for c in codes.MODEL_FEATURES:
         if c in MODEL_NUMERIC_TEXT:
             sel.append(F.when(X.strip(q(c)) == "Exempt", F.lit(-1.0))
                        .otherwise(X.to_number_commas(q(c))).alias(c))
+        elif c in MODEL_CODES and types[c] in ("int", "bigint"):
+            sel.append(q(c).cast("double").alias(c))  # what its text would give
         elif c in MODEL_CODES:
             sel.append(X.to_number(q(c)).alias(c))
         elif c in codes.MODEL_CATEGORICAL:
