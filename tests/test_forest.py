@@ -130,3 +130,26 @@ def test_tiny_tables(spark, rows):
         model = fit_forest(df, "x", "y", 2, ForestParams(trees=3, local_rows=local))
         got = [r["p"] for r in model.transform(df, "x").collect()]
         assert len(got) == len(rows) and all(0 <= p <= 1 for p in got)
+
+
+def test_rows_move_packed_and_exact(spark):
+    from lendlens.ml.forest import _packed, _unpacked, row_type
+    x = np.array([[0.0, -1.0, 70_000.0, 0.1, 2.0**40], [1.0, 300.0, -5.0, 7.0, 1.0]])
+    df = spark.createDataFrame([(i, float(i), r.tolist()) for i, r in enumerate(x)], "id long, label double, x array<double>")
+    kind = row_type(df, 5)
+    assert [kind[f"f{i}"].str for i in range(5)] == ["|i1", "<i2", "<i4", "<f8", "<f8"]
+    whole = _packed(np.array([7, 3]), np.array([1.0, 0.0]), x, kind)
+    ids, y, columns = _unpacked([whole[:1].tobytes(), whole[1:].tobytes()], kind)
+    assert ids.tolist() == [3, 7] and y.tolist() == [0.0, 1.0] and (np.stack(columns, axis=1) == x[::-1]).all()
+
+
+def test_features_with_more_values_than_a_node_has_rows():
+    """Nodes whose rows are counted by rank and nodes whose rows are sorted."""
+    from lendlens.ml.forest import grow_ranked, ranked
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.permutation(3000) / 7, rng.integers(0, 3, 3000), rng.integers(-5, 900, 3000)], axis=1)
+    y = (x[:, 0] % 40 + x[:, 1] * 9 + rng.integers(0, 9, 3000) > 30).astype(float)
+    w = rng.integers(1, 3, 3000).astype(float)
+    tree, _ = grow_ranked(*ranked([x[:, 0], x[:, 1].astype(np.int8), x[:, 2].astype(np.int16)]), y, w, 4, None, 3, np.random.default_rng(0))
+    want = plain(x, y, w, 4)
+    np.testing.assert_allclose(tree.value[tree.leaves(x)], [value(want, r) for r in x])
