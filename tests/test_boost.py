@@ -7,8 +7,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from lendlens.ml import evaluate as EV
-from lendlens.ml.boost import BoostedTrees, BoostParams, fit_boosted
-from lendlens.ml.trees import Tree, uniform
+from lendlens.ml.boost import BoostedTrees, BoostParams, _blocks, _histograms, fit_boosted
+from lendlens.ml.trees import SCALE, Tree, feature_cuts, uniform
 
 
 def plain_tree(x, y, margin, rows, features, p):
@@ -137,3 +137,35 @@ def test_leaves_of_a_tree():
     a, b = t.split(0, 1, 0.5)
     c, d = t.split(b, 0, 2.0)
     assert t.leaves(np.array([[0, 0.5], [2, 1], [3, 1]])).tolist() == [a, c, d] and t.depth() == 2
+
+
+def test_rows_move_in_blocks_and_sums_a_row_per_node_and_feature(spark):
+    """Neither the pass over the training rows nor its shuffle handles single
+    rows or bins; features of two bins, added up by pattern, have the sums of
+    the others."""
+    x, y = data(3000)
+    x = np.concatenate([x, x[:, [2, 2]], 1 - x[:, [2]]], axis=1)
+    source = frame(spark, x, y).select("x", F.col("y").alias("label"))
+    cuts = feature_cuts(source, "x", 7)
+    table = _blocks(source, cuts, 0.25)
+    assert table.count() <= 3
+    root, two = Tree.root(), [f for f, c in enumerate(cuts) if len(c) < 2]
+    assert two == [2, 4, 5, 6]
+    rows = _histograms(table, [], root, [0], [0, 1, 2, 4, 6], 7, BoostParams(subsample=1.0), 1, two).collect()
+    assert len(rows) <= 3 * 5
+    prob = 1 / (1 + np.exp(-0.25))
+    for f in (0, 1, 2, 4, 6):
+        g = sum(np.frombuffer(r["s0"], np.int64) for r in rows if r["feature"] == f) / SCALE
+        want = [(prob - y)[np.searchsorted(cuts[f], x[:, f], "left") == b].sum() for b in range(len(cuts[f]) + 1)]
+        np.testing.assert_allclose(g[:len(want)], want, atol=1e-5)
+        assert not g[len(want):].any()
+
+
+def test_routes_of_a_tree_are_its_leaves():
+    t = Tree.root()
+    a, b = t.split(0, 1, 0.5)
+    t.split(b, 0, 2.0)
+    x = np.array([[0, 0.5], [2, 1], [3, 1], [1, np.nan]])
+    for own in (x, np.asfortranarray(x), x[:0]):
+        assert t.router()(own).tolist() == t.leaves(own).tolist()
+    assert Tree.root().router()(x).tolist() == [0] * 4
