@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
+from lendlens.llm import lm
 from lendlens.llm.lm import EXACT, Bytes, draw_tables, lm_scores, log_stirling, op4_lm_scores, spell, uniforms
 
 from . import cases
@@ -76,3 +77,17 @@ def test_pairs_and_tokens_make_a_distribution(spark):
     out = {r["doc_id"]: 10 ** r["score"] for r in lm_scores(spark.createDataFrame(rows + held, cases.SCHEMA), F.col("doc_id") < 100).collect()}
     assert sum(v for k, v in out.items() if k >= 100) < 1
     assert out[101] > out[102] and out[110] > out[112]  # a b was seen oftener than a c, b a than b c
+
+
+def test_blocks_and_parts_move_arrays(spark, monkeypatch):
+    """A block is a row per document and few more, whatever words it holds;
+    dealt to many parts it has the scores of one part."""
+    texts = [" ".join(f"w{(k * k + i * i) % 997} x{(k + i) % 13}" for i in range(120)) for k in range(60)]
+    df = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(texts)], cases.SCHEMA).repartition(2)
+    blocks = lm._blocks(df.select(F.col("doc_id").alias("id"), "text", F.lit(True).alias("train")), "bigint")
+    assert blocks.count() <= 60 + 2 * 2
+    scores = []
+    for size in (1 << 20, 1 << 12):
+        monkeypatch.setattr(lm, "PART_PAIRS", size)
+        scores.append({r["doc_id"]: round(r["score"], 6) for r in lm_scores(df, F.col("doc_id") % 5 != 0).collect()})
+    assert scores[0] == scores[1] and len(scores[0]) == 60
