@@ -91,3 +91,38 @@ def test_blocks_and_parts_move_arrays(spark, monkeypatch):
         monkeypatch.setattr(lm, "PART_PAIRS", size)
         scores.append({r["doc_id"]: round(r["score"], 6) for r in lm_scores(df, F.col("doc_id") % 5 != 0).collect()})
     assert scores[0] == scores[1] and len(scores[0]) == 60
+
+
+def test_blocks_hold_tokens_once_and_no_pairs(spark):
+    """A token of a block takes a place among the block's words, not a pair's hash too."""
+    some = np.random.default_rng(0).integers(0, 3000, (40, 2000))
+    df = spark.createDataFrame([(k, " ".join(f"w{w}" for w in own), "en", "a", 0) for k, own in enumerate(some.tolist())], cases.SCHEMA).coalesce(1)
+    blocks = lm._blocks(df.select(F.col("doc_id").alias("id"), "text", F.lit(True).alias("train")), "bigint")
+    arrays = [c for c, kind in blocks.dtypes if kind == "binary"]
+    assert blocks.agg(F.sum(sum(F.coalesce(F.length(c), F.lit(0)) for c in arrays))).first()[0] < 3 * some.size
+
+
+def test_pairs_of_a_block_by_either_sort():
+    rng = np.random.default_rng(1)
+    sizes = np.full(1 << 9, 1 << 9)
+    codes = rng.integers(1, 50, sizes.sum())
+    codes[np.cumsum(sizes) - 1] = 7  # the end
+    hashes = np.sort(rng.integers(0, 1 << 63, 1 << 22).astype(np.uint64))
+    few, many = (lm._block_pairs(codes.astype(np.uint32), sizes, h, 5) for h in (hashes[:64], hashes))
+    assert all((x == y).all() for x, y in zip(few, many, strict=True))
+    prev, code, part, at = few
+    expected = codes[:-1].copy()
+    expected[np.cumsum(sizes)[:-1] - 1] = 7
+    assert (code[at] == codes).all() and prev[at][0] == 7 and (prev[at][1:] == expected).all() and set(part) == set(range(5))
+
+
+def test_packed_numbers_come_back():
+    for a in ([], [0, 255], [0, 256], [5, 1 << 16], [1 << 32, 3], [-1, 1 << 62]):
+        a = np.array(a, np.int64)
+        assert (lm._array(lm._pack(a), np.int64) == a).all() and lm._array(lm._pack(a), np.int64).dtype == np.int64
+
+
+def test_session_keeps_its_shuffle_setting(spark):
+    before = spark.conf.get(lm.CLEANUP, None)
+    assert lm_scores(cases.awkward(spark), F.lit(True)).count() == cases.awkward(spark).count()
+    assert spark.conf.get(lm.CLEANUP, None) == before
