@@ -153,3 +153,30 @@ def test_features_with_more_values_than_a_node_has_rows():
     tree, _ = grow_ranked(*ranked([x[:, 0], x[:, 1].astype(np.int8), x[:, 2].astype(np.int16)]), y, w, 4, None, 3, np.random.default_rng(0))
     want = plain(x, y, w, 4)
     np.testing.assert_allclose(tree.value[tree.leaves(x)], [value(want, r) for r in x])
+
+
+@pytest.mark.parametrize("tries", [None, 2])
+def test_the_same_forest_whatever_fits_a_task(spark, tmp_path, tries):
+    """Upper nodes split over the cluster are those that a task would make, on
+    all values of features with more values than bins, and count in importances."""
+    rng = np.random.default_rng(11)
+    n = 1500
+    x = np.stack([rng.normal(size=n), rng.integers(0, 3, n), rng.normal(size=n).round(2) * 7, rng.integers(0, 900, n), rng.integers(0, 2, n)], axis=1)
+    y = (x[:, 0] + x[:, 1] + (x[:, 3] % 50 > 20) + rng.normal(size=n) > 1.5).astype(float)
+    df = frame(spark, x, y, 1)
+    once, split = (fit_forest(df, "x", "y", 5, ForestParams(trees=3, features_per_node=tries, local_rows=rows)) for rows in (10**6, 150))
+    assert len(split.tops[0]) > 8 and len(once.tops[0]) == 1
+    got, want = ({tuple(r["x"]): r["p"] for r in m.transform(df, "x").collect()} for m in (split, once))
+    assert got == want
+    np.testing.assert_allclose(split.importances(), once.importances(), rtol=1e-9)
+    split.save(spark, str(tmp_path / "f"))
+    np.testing.assert_allclose(Forest.load(spark, str(tmp_path / "f")).importances(), once.importances(), rtol=1e-9)
+
+
+def test_a_feature_of_more_ranks_than_two_bytes_hold():
+    from lendlens.ml.forest import grow_ranked, ranked
+    n = 70_000
+    x = np.stack([np.arange(n) + 0.5, np.arange(n) % 2], axis=1)
+    y = (x[:, 0] > 66_000).astype(float)
+    tree, gains = grow_ranked(*ranked([x[:, 0], x[:, 1]]), y, np.ones(n), 4, None, 2, np.random.default_rng(0))
+    assert len(tree) == 3 and tree.feature[0] == 0 and tree.threshold[0] == 66_000 and gains[1] == 0
