@@ -169,3 +169,27 @@ def test_routes_of_a_tree_are_its_leaves():
     for own in (x, np.asfortranarray(x), x[:0]):
         assert t.router()(own).tolist() == t.leaves(own).tolist()
     assert Tree.root().router()(x).tolist() == [0] * 4
+
+
+def test_the_same_trees_in_a_task_and_on_the_cluster(spark):
+    x, y = data(3000, 6)
+    x = np.concatenate([x, x[:, [2, 2]], 1 - x[:, [2]], (x[:, [3]] > 0.3)], axis=1)
+    df = frame(spark, x, y, 4)
+    p = {"rounds": 13, "max_depth": 5, "min_child_weight": 2.0, "refresh": 4}
+    once, spread = (fit_boosted(df, "x", "y", 8, BoostParams(**p, local_bytes=most)) for most in (1 << 30, 0))
+    for a, b in zip(once.trees, spread.trees, strict=True):
+        assert all((getattr(a, c) == getattr(b, c)).all() for c in ("feature", "threshold", "left", "right", "value"))
+    assert once.gains == spread.gains and max(t.depth() for t in once.trees) == 5
+
+
+def test_registered_boosting_fits_all_rounds(spark, monkeypatch):
+    """The registered queries fit the operator's rounds."""
+    from lendlens.ml import train
+    from lendlens.plans import catalog
+
+    from .conftest import SF_SMALL
+    asked = []
+    monkeypatch.setattr(train, "fit_boosted", lambda *a: asked.append(a[4].rounds) or BoostedTrees(a[4], 0.0, [], a[3]))
+    monkeypatch.setattr(catalog, "_MODELS", {})
+    catalog.QUERIES["train_gbt"](spark, SF_SMALL).collect()
+    assert asked == [train.TREES["gbt"][0]] == [500]
