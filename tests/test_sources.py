@@ -207,3 +207,34 @@ def test_code_columns_give_the_same_features_as_their_text(spark):
     assert got.dtypes == want.dtypes and got.exceptAll(want).isEmpty()
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") < model_features_from(text)._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+
+
+def test_deliveries_and_landed_tables_are_compressed(spark, tmp_path):
+    """Raw files come compressed, of a bounded number of rows, and land whole;
+    landed tables are written with zstd."""
+    import pyarrow.parquet as pq
+
+    from lendlens.streaming import landing as L
+    df = spark.range(7).selectExpr("CAST(id AS STRING) AS k", "repeat('a', 50) AS v", "CAST(2020 AS INT) AS activity_year").coalesce(1)
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "landed")
+    L.stage_yearly_csv(df, raw, options=L.DELIVERY_OPTIONS)
+    files = list((tmp_path / "raw").rglob("part-*"))
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert int(L.DELIVERY_OPTIONS["maxRecordsPerFile"]) <= 1_000_000
+    assert L.land_incremental(spark, raw, target, str(tmp_path / "c"), ["k", "v", "activity_year"]) == 7
+    assert sorted(r["k"] for r in spark.read.parquet(target).collect()) == [str(i) for i in range(7)]
+    landed = next((tmp_path / "landed").rglob("*.parquet"))
+    assert pq.ParquetFile(landed).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_landing_leaves_no_shuffle_files(spark, tmp_path):
+    """The shuffle of a landed table goes with its write."""
+    from lendlens.sources.landing import writing_session
+    own = writing_session(spark)
+
+    def shuffles():
+        get = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {get.apply(i).getName() for i in range(get.size()) if get.apply(i).getName().startswith("shuffle_")}
+    before = shuffles()
+    own.range(1000).selectExpr("id", "id % 7 AS k").repartition(5, "k").write.parquet(str(tmp_path / "t"))
+    assert shuffles() <= before
