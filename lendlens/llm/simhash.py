@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendlens.llm.common import cut, drop, fresh, per_text, table
+from lendlens.llm.common import cut, drop, fresh, off_driver, per_text, table
 
 BITS = 64
 #: Costs of the plan choice: a shuffled probe row against one comparison.
@@ -179,7 +179,7 @@ def links(nodes: DataFrame, col: str, distance: int) -> DataFrame:
     earlier = F.lit(False)  # an earlier part has found the pair
     for i, (m, t) in enumerate(parts):
         earlier |= (F.lit(i) < F.col("s.part")) & (F.bit_count(differ.bitwiseAND(_long(m))) <= t)
-    return probes.alias("p").join(stored.alias("s"), (F.col("p.part") == F.col("s.part"))
+    return probes.alias("p").join(off_driver(stored, len(parts) * nodes.count()).alias("s"), (F.col("p.part") == F.col("s.part"))
         & (F.col("p.key") == F.col("s.key")) & (F.col("a") < F.col("b"))
         & (F.bit_count(differ) <= distance) & ~earlier).select("a", "b")
 
@@ -188,15 +188,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of ``edges`` (a, b): root is the smallest
     node reachable. Every round is a written table."""
     now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
-    state = None
+    state, size = None, now.count()
     while True:
         # large star: every larger neighbour of a node is tied to its smallest
         both = now.select(F.col("u").alias("x"), F.col("v").alias("y")).union(now.select("v", "u"))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
-        large = cut(both.filter("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct(), "large")
+        large = cut(both.filter("y > x").join(off_driver(least, 2 * size), "x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct(), "large")
         # small star: a node and its smaller neighbours are tied to the smallest
         least = large.groupBy("v").agg(F.min("u").alias("m"))
-        tied = large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).union(least.select("v", "m"))
+        tied = large.join(off_driver(least, 2 * size), "v").select(F.col("u").alias("v"), F.col("m").alias("u")).union(least.select("v", "m"))
         small = cut(tied.filter("v <> u").distinct(), "small")
         after = small.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         drop(now), drop(large)
@@ -204,7 +204,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if tuple(after) == state:
             return now.select(F.col("v").alias("node"), F.col("u").alias("root")).union(
                 now.select("u", "u").distinct())
-        state = tuple(after)
+        state, size = tuple(after), after[0]
 
 
 def with_fingerprint(df: DataFrame, text_col: str, shingle: int, name: str) -> DataFrame:
@@ -217,9 +217,10 @@ def _groups(marked: DataFrame, f: str, id_col: str, distance: int) -> DataFrame:
     """(node, component): every distinct fingerprint's smallest reachable id."""
     nodes = cut(marked.groupBy(F.col(f).alias("node")).agg(F.min(id_col).alias("least")), "nodes")
     roots = connected_components(links(nodes, "node", distance))
-    linked = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    size = nodes.count()
+    linked = nodes.join(off_driver(roots, size), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    return linked.join(least, "root").select("node", "component")
+    return off_driver(linked.join(off_driver(least, size), "root").select("node", "component"), size)
 
 
 def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -244,10 +245,11 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(h).alias("hash"))
     nodes = cut(marked.groupBy(F.col(f).alias("node")).agg(F.min(order).alias("first")), "nodes")
     roots = connected_components(links(nodes.select("node"), "node", distance))
-    linked = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    size = nodes.count()
+    linked = nodes.join(off_driver(roots, size), "node", "left").withColumn("root", F.coalesce("root", "node"))
     stay = linked.groupBy("root").agg(F.min(F.struct("first", "node")).alias("s")).select(
         F.col("s.node").alias("s_node"), F.col("s.first.id").alias("s_id"), F.col("s.first.hash").alias("s_hash"))
-    kept = marked.join(stay, (marked[f] == stay["s_node"]) & (marked[h] == stay["s_hash"])
+    kept = marked.join(off_driver(stay, size), (marked[f] == stay["s_node"]) & (marked[h] == stay["s_hash"])
                        & marked[id_col].eqNullSafe(stay["s_id"]), "left_semi")
     return kept.dropDuplicates([f, h, id_col]).select(*df.columns)
 

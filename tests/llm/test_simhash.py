@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from lendlens.llm import simhash
 from lendlens.llm.simhash import allot, connected_components, fingerprint, group_bits, links, op5_simhash, simhash_dedup, simhash_groups
@@ -129,3 +130,17 @@ def test_tiny_tables(spark):
         df = spark.createDataFrame(rows, cases.SCHEMA)
         assert {r["component"] for r in simhash_groups(df).collect()} == ({0} if n else set())
         assert simhash_dedup(df).count() == min(n, 1)
+
+
+def test_large_sides_stay_off_the_driver(spark, monkeypatch):
+    """Beyond BROADCAST_ROWS fingerprints no join is planned as a broadcast,
+    however small the files are; groups stay the same."""
+    from lendlens.llm import common, simhash
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i // 3} {i // 3}") for i in range(60)], "doc_id bigint, text string")
+    want = sorted(tuple(r) for r in simhash.simhash_groups(docs).collect())
+    monkeypatch.setattr(simhash, "off_driver", lambda df, rows: common.off_driver(df, rows, 10))
+    out = simhash.simhash_groups(docs)
+    assert sorted(tuple(r) for r in out.collect()) == want
+    nodes = spark.range(50).select(F.xxhash64("id").alias("node"))
+    for df in (out, simhash.links(nodes, "node", 4), simhash.simhash_dedup(docs)):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
